@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import lines, mixing
+from . import lines, mixing, tokens
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(C.load(spark, sf_dir, "documents"))
 
 
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.digest(C.load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(C.load(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op6_line_dedup": op6_line_dedup}
+QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op6_line_dedup": op6_line_dedup}
 ORACLES = {"op1_mix": mixing.SQL, "op6_line_dedup": lines.SQL}
