@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import lines, mixing, tokens
+from . import lines, mixing, tokens, warc
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,5 +22,9 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(C.load(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op6_line_dedup": op6_line_dedup}
-ORACLES = {"op1_mix": mixing.SQL, "op6_line_dedup": lines.SQL}
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(C.load(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc}
+ORACLES = {"op1_mix": mixing.SQL, "op6_line_dedup": lines.SQL, "op7_warc": warc.SQL}

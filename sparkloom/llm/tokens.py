@@ -168,7 +168,7 @@ class _Shard:
         self.data, self.index = f"{folder}/{name}.rec", f"{folder}/{name}.idx"
         self.fs, path = C.filesystem(self.data)
         self.fs.create_dir(path.rpartition("/")[0], recursive=True)
-        self.out, self.idx = (self.fs.open_output_stream(C.filesystem(p)[1]) for p in (self.data, self.index))
+        self.out, self.idx = (self.fs.open_output_stream(C.filesystem(p)[1], compression=None) for p in (self.data, self.index))
         self.docs = self.tokens = self.bytes = 0
 
     def add(self, doc_ids: list[int | None], ids: list[np.ndarray]) -> None:
@@ -238,7 +238,7 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 fs, path = C.filesystem(row["index"])
-                with fs.open_input_stream(path) as f:
+                with fs.open_input_stream(path, compression=None) as f:
                     entries = np.frombuffer(f.read(), INDEX)
                 fs, path = C.filesystem(row["data"])
                 start, a = row["base"], 0
