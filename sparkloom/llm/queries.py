@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import lines, mixing, tokens, warc
+from . import lines, mixing, quality, tokens, warc
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digest(C.load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(C.load(spark, sf_dir, "documents"), C.load(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(C.load(spark, sf_dir, "documents"))
 
@@ -26,5 +30,5 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(C.load(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc}
+QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc}
 ORACLES = {"op1_mix": mixing.SQL, "op6_line_dedup": lines.SQL, "op7_warc": warc.SQL}
