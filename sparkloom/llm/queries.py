@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import lines, mixing, quality, tokens, warc
+from . import lines, mixing, quality, tokens, toxicity, warc
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,5 +30,9 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(C.load(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.grade(C.load(spark, sf_dir, "documents"), C.load(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc, "op8_toxicity": op8_toxicity}
 ORACLES = {"op1_mix": mixing.SQL, "op6_line_dedup": lines.SQL, "op7_warc": warc.SQL}
