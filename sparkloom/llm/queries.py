@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import decontaminate, lines, mixing, quality, simhash, tokens, toxicity, warc
+from . import ann, decontaminate, lines, mixing, quality, simhash, tokens, toxicity, warc
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,5 +42,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade(C.load(spark, sf_dir, "documents"), C.load(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_decontaminate": op5_decontaminate, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc, "op8_toxicity": op8_toxicity}
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(C.load(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_decontaminate": op5_decontaminate, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc, "op8_toxicity": op8_toxicity, "op9_ann": op9_ann}
 ORACLES = {"op1_mix": mixing.SQL, "op6_line_dedup": lines.SQL, "op7_warc": warc.SQL}
