@@ -78,3 +78,11 @@ def draw(*parts: Column | str | int) -> Column:
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether a materialised frame has at most so many rows; decides on an explicit broadcast."""
     return df.limit(rows + 1).count() <= rows
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let the driver notice that shuffles of finished jobs are not referred to any more, so that their files go."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import ann, decontaminate, lines, mixing, quality, simhash, tokens, toxicity, warc
+from . import ann, decontaminate, lines, mixing, quality, simhash, suffix, tokens, toxicity, warc
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,5 +46,9 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(C.load(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_decontaminate": op5_decontaminate, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc, "op8_toxicity": op8_toxicity, "op9_ann": op9_ann}
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(C.load(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_mix": op1_mix, "op2_tokens": op2_tokens, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_decontaminate": op5_decontaminate, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc, "op8_toxicity": op8_toxicity, "op9_ann": op9_ann, "op10_suffix": op10_suffix}
 ORACLES = {"op1_mix": mixing.SQL, "op6_line_dedup": lines.SQL, "op7_warc": warc.SQL}
