@@ -52,7 +52,9 @@ def stem(path: Column) -> Column:
 
 
 def output_base(sample_id: Column, uri: Column) -> Column:
-    return F.coalesce(safe_part(F.nullif(strip(sample_id.cast("string")), F.lit(""))) if sample_id is not None else F.lit(None), safe_part(stem(uri)))
+    """The id, made safe, or where it is null or blank the name of the URI."""
+    given = F.nullif(strip(sample_id.cast("string")), F.lit(""))
+    return F.when(given.isNotNull(), safe_part(given)).otherwise(safe_part(stem(uri)))
 
 
 def row_base(sample: Column) -> Column:
@@ -64,7 +66,6 @@ def strip_heading(x: Column) -> Column:
     """Without a leading "Genre:" line, "Sub-genre(s):" lines after it and one blank line; trimmed."""
     lines = F.split(x, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
     first = F.coalesce(F.array_min(F.filter(F.transform(lines, lambda v, i: F.when(strip(v) != "", i)), lambda i: i.isNotNull())), F.lit(-1))
-    start = F.struct(first.cast("int").alias("end"), F.lit(0).alias("state"))
 
     def step(a: Column, line: Column) -> Column:
         """state 0: before the heading's end, 1: done."""
@@ -74,7 +75,6 @@ def strip_heading(x: Column) -> Column:
 
     rest = F.slice(lines, first + 2, F.greatest(F.size(lines) - first - 1, F.lit(0)))
     end = F.aggregate(rest, F.struct((first + 1).cast("int").alias("end"), F.lit(0).alias("state")), step, lambda a: a["end"])
-    del start
     body = strip(F.array_join(F.slice(lines, end + 1, F.greatest(F.size(lines) - end, F.lit(0))), "\n"))
     return F.when(first < 0, x).when(F.get(lines, first).rlike(r"(?i)^\s*Genre\s*:"), body).otherwise(strip(x))
 

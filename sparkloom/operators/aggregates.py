@@ -101,7 +101,6 @@ def pca(df: DataFrame, vector: str, k: int = 3) -> DataFrame:
     themselves are projected. Each component's largest coefficient is positive."""
     import numpy as np
     import pyarrow as pa
-    from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
     def sums(batches):
         acc = None
@@ -124,7 +123,6 @@ def pca(df: DataFrame, vector: str, k: int = 3) -> DataFrame:
     cov = got[1 + d :].reshape(d, d) / n - np.outer(s, s) / n**2
     vec = np.linalg.eigh(cov)[1][:, ::-1][:, :k]
     vec = vec * np.sign(vec[np.abs(vec).argmax(0), np.arange(vec.shape[1])])
-    del ArrayType, DoubleType, StructField, StructType
     lit = lambda col: F.array(*[F.lit(float(v)) for v in col])
     from ..functions.arrays import dot
 

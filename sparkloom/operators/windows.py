@@ -19,10 +19,12 @@ def chunks(df: DataFrame, n: Column, c: int) -> DataFrame:
 
 def stitch(df: DataFrame, key: str, text: str, c: int, overlap: int) -> DataFrame:
     """key, stitched: a text cut into overlapping chunks and put together again, later chunks over earlier ones."""
-    plan = df.select(key, text, F.posexplode(A.stitch_plan(F.char_length(text), c, overlap)).alias("k", "p"))
-    cells = plan.select(key, "k", F.substring(text, F.col("p.start") + 1, c).alias("chunk"), "p.start", F.explode(F.sequence(F.col("p.lo"), F.col("p.hi") - 1)).alias("i"))
-    cells = cells.filter("i < char_length(chunk)").groupBy(key, (F.col("start") + F.col("i")).alias("pos")).agg(F.max_by(F.substring("chunk", F.col("i") + 1, F.lit(1)), "k").alias("ch"))
-    return cells.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ch"))), lambda x: x["ch"]), "").alias("stitched"))
+    plan = df.select(key, text, F.posexplode(A.stitch_plan(F.char_length(text), c, overlap)).alias("__k", "__p"))
+    at = F.explode(F.sequence(F.col("__p.lo"), F.col("__p.hi") - 1))
+    cells = plan.select(key, "__k", F.substring(text, F.col("__p.start") + 1, c).alias("__chunk"), F.col("__p.start").alias("__start"), at.alias("__i")).filter("__i < char_length(__chunk)")
+    last = F.max_by(F.substring("__chunk", F.col("__i") + 1, F.lit(1)), "__k")
+    cells = cells.groupBy(key, (F.col("__start") + F.col("__i")).alias("__pos")).agg(last.alias("__ch"))
+    return cells.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__ch"))), lambda x: x["__ch"]), "").alias("stitched"))
 
 
 def band(keys: list[str], order: list[str], left: int, right: int):
@@ -50,8 +52,6 @@ def spans(df: DataFrame, keys: list[str], order: str, on: Column) -> DataFrame:
 
 def cumulative(df: DataFrame, key: str, length: Column) -> DataFrame:
     """key, start, end: running sums of lengths in key order, by range partitions and not in one task."""
-    from ..functions.draws import numbered  # noqa: F401
-
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(key, length.cast("long").alias("__n")).repartitionByRange(parts, key).withColumn("__p", F.spark_partition_id())
     sums = rows.groupBy("__p").agg(F.sum("__n").alias("__t"))

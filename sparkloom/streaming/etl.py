@@ -96,7 +96,8 @@ def encode_stream(chunks: DataFrame, encode: Callable[[pd.DataFrame], pd.DataFra
     def write(df: DataFrame, batch: int) -> None:
         names = [c.split()[0] for c in schema.split(",")]
         spark = df.sparkSession
-        out = df.mapInPandas(lambda it: (x.reindex(columns=[*names, "error", "failed_key"]) for x in safe(it)), schema + ", error string, failed_key string")
+        whole = lambda x: x.reindex(columns=[*names, "error", "failed_key"]).astype(object).where(lambda v: v.notna(), None)
+        out = df.mapInPandas(lambda it: (whole(x) for x in safe(it)), schema + ", error string, failed_key string")
         staged = f"{path}/staged/batch={batch}"
         out.write.mode("overwrite").parquet(staged)
         done = spark.read.parquet(staged)
