@@ -19,12 +19,20 @@ def chunks(df: DataFrame, n: Column, c: int) -> DataFrame:
 
 def stitch(df: DataFrame, key: str, text: str, c: int, overlap: int) -> DataFrame:
     """key, stitched: a text cut into overlapping chunks and put together again, later chunks over earlier ones."""
-    plan = df.select(key, text, F.posexplode(A.stitch_plan(F.char_length(text), c, overlap)).alias("__k", "__p"))
-    at = F.explode(F.sequence(F.col("__p.lo"), F.col("__p.hi") - 1))
-    cells = plan.select(key, "__k", F.substring(text, F.col("__p.start") + 1, c).alias("__chunk"), F.col("__p.start").alias("__start"), at.alias("__i")).filter("__i < char_length(__chunk)")
-    last = F.max_by(F.substring("__chunk", F.col("__i") + 1, F.lit(1)), "__k")
-    cells = cells.groupBy(key, (F.col("__start") + F.col("__i")).alias("__pos")).agg(last.alias("__ch"))
-    return cells.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__ch"))), lambda x: x["__ch"]), "").alias("stitched"))
+    half, n = overlap // 2, F.char_length(text)
+    plan = df.select(key, text, A.overlap_starts(n, c, overlap).alias("__s")).select(key, text, (F.size("__s") - 1).alias("__last"), F.posexplode("__s").alias("__k", "__start"))
+    lo = F.when(F.col("__k") == 0, 0).otherwise(half)
+    hi = F.when(F.col("__k") == F.col("__last"), F.least(n, F.lit(c))).otherwise(c - half)
+    part = F.struct(F.col("__k").alias("k"), F.col("__start").alias("start"), lo.alias("lo"), hi.alias("hi"), F.substring(text, F.col("__start") + 1, c).alias("chunk"))
+    parts = plan.select(key, part.alias("__x")).groupBy(key).agg(F.array_sort(F.collect_list("__x")).alias("__x"))
+
+    def piece(x: Column, i: Column) -> Column:
+        """Up to where the next chunk begins to overwrite."""
+        following = F.get("__x", i + 1)
+        end = F.coalesce(F.least(x["hi"], following["start"] + following["lo"] - x["start"]), x["hi"])
+        return F.substring(x["chunk"], x["lo"] + 1, end - x["lo"])
+
+    return parts.select(key, F.array_join(F.transform("__x", piece), "").alias("stitched"))
 
 
 def band(keys: list[str], order: list[str], left: int, right: int):
