@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,6 +85,19 @@ def timestep(key: Column | str, how: str = "uniform", **p: float) -> Column:
     raise ValueError(f"unknown timestep draw {how}")
 
 
+def truncated_logistic(key: Column | str, left: float = 0.075, tag: str = "t") -> Column:
+    """Logistic-normal draws cut at ``left`` and stretched to [0, 1)."""
+    @F.pandas_udf("double")
+    def inverse(u: pd.Series) -> pd.Series:
+        from statistics import NormalDist
+
+        z = NormalDist()
+        low = z.cdf(math.log(left / (1 - left)))
+        return u.map(lambda v: (1 / (1 + math.exp(-z.inv_cdf(min(max(low + (1 - low) * v, 1e-15), 1 - 1e-15)))) - left) / (1 - left))
+
+    return inverse(uniform(key, tag))
+
+
 def radical_inverse(index: Column, digits: int = 32) -> Column:
     """Base-2 van der Corput value of an index: the first dimension of a Sobol sequence."""
     steps = F.sequence(F.lit(0), F.lit(digits - 1))

@@ -50,3 +50,32 @@ def svd_bases(tensors: DataFrame, rank: int) -> DataFrame:
             yield pd.DataFrame(out, columns=["name", "up", "down"])
 
     return tensors.select("name", "rows", "cols", "values").mapInPandas(run, "name string, up array<double>, down array<double>")
+
+
+def core_product(up: DataFrame, core: DataFrame, down: DataFrame, scale: float = 1.0) -> DataFrame:
+    """(r, c, v) = scale * up(r, k) @ core(k, c) @ down(k, c), with fixed outer bases and a small learned core."""
+    left = long_product(up, core).withColumnRenamed("c", "k")
+    return long_product(left, down, scale)
+
+
+def bora(w: DataFrame, delta: DataFrame, rows: DataFrame, columns: DataFrame) -> DataFrame:
+    """(r, c, v): w + delta, scaled to row magnitudes (r, norm) and then to column magnitudes (c, norm)."""
+    none = delta.withColumn("v", F.lit(0.0))
+    return dora(dora(w, delta, rows, "r"), none, columns, "c")
+
+
+def set_strength(adapters: DataFrame, strength: dict[str, float]) -> DataFrame:
+    """Adapters (adapter, name, weight, r, c, v) with new weights; others stay."""
+    weight = F.col("weight")
+    for name, s in strength.items():
+        weight = F.when(F.col("adapter") == name, F.lit(float(s))).otherwise(weight)
+    return adapters.withColumn("weight", weight)
+
+
+def select_adapters(adapters: DataFrame, keep: list[str] | None = None, remove: list[str] = ()) -> DataFrame:
+    out = adapters.filter(F.col("adapter").isin(*keep)) if keep is not None else adapters
+    return out.filter(~F.col("adapter").isin(*remove)) if remove else out
+
+
+def adapter_count(adapters: DataFrame) -> DataFrame:
+    return adapters.agg(F.count_distinct("adapter").alias("n_adapters"))

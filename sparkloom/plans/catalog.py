@@ -14,6 +14,7 @@ from ..functions import draws as D
 from ..functions import schedules as S
 from ..functions import text as T
 from ..operators import aggregates as G
+from ..operators import conditioning as K
 from ..operators import records as R
 from ..operators import windows as W
 
@@ -480,6 +481,51 @@ def daily_rollup(spark, d):
     return _t(spark, d, "events").groupBy(F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"), _r(F.sum("value"), "total", 4))
 
 
+@query("""
+WITH f AS (SELECT vec_id, unnest(range(0, 64)) AS ch, unnest(list_transform(embedding, lambda x: x::DOUBLE)) AS v FROM embeddings),
+s AS (SELECT *, avg(v) FILTER (WHERE ch < 40) OVER (PARTITION BY vec_id) AS dc FROM f)
+SELECT vec_id, round(max(dc), 6) AS dc, round(sum(CASE WHEN ch < 40 THEN (v - dc) * (v - dc) ELSE 0 END), 6) AS hf_energy FROM s GROUP BY vec_id""")
+def feature_split(spark, d):
+    out = K.feature_split(_frames(spark, d), ["vec_id"], F.col("v"), F.col("ch") < 40)
+    return out.groupBy("vec_id").agg(_r(F.max("dc"), "dc"), _r(F.sum(F.col("hf") * F.col("hf")), "hf_energy"))
+
+
+@query("""
+WITH b AS (SELECT doc_id, source, CASE WHEN n_chars > 12000 THEN NULL ELSE n_chars / 100.0 END AS s FROM documents),
+k AS (SELECT source, lang, bool_and(CASE WHEN n_chars > 12000 THEN NULL ELSE n_chars END IS NOT NULL) AS ok FROM documents GROUP BY 1, 2)
+SELECT d.doc_id, CASE WHEN k.ok THEN ceil(floor(b.s * 50) / 8.0)::INTEGER::VARCHAR ELSE 'none' END AS latent
+FROM documents d JOIN b USING (doc_id) JOIN k ON d.source = k.source AND d.lang = k.lang""")
+def batch_latent_lengths(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", F.concat_ws("/", "source", "lang").alias("batch"), F.when(F.col("n_chars") <= 12000, F.col("n_chars") / 100).alias("s"))
+    return K.latent_lengths(docs, "batch", "s", 50, 8).select("doc_id", F.coalesce(F.col("latent").cast("string"), F.lit("none")).alias("latent"))
+
+
+@query("""
+WITH c AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS rn FROM conversations)
+SELECT conv_id, turn, (rn // 3)::INTEGER AS batch FROM c""")
+def micro_batching(spark, d):
+    from ..streaming.etl import micro_batches
+
+    return micro_batches(_t(spark, d, "conversations"), ["conv_id"], "turn", 3).select("conv_id", "turn", F.col("batch.k").alias("batch"))
+
+
+@query("""
+SELECT vec_id, list_sum(list_transform(range(1, 9), lambda i: CASE WHEN i % 2 = 0 THEN embedding[i]::DOUBLE ELSE embedding[i + 8]::DOUBLE END)) IS NOT NULL AS ok,
+       round(list_sum(list_transform(range(1, 9), lambda i: CASE WHEN i % 2 = 0 THEN embedding[i]::DOUBLE ELSE embedding[i + 8]::DOUBLE END)), 6) AS pasted FROM embeddings""")
+def paste_back(spark, d):
+    e = F.col("embedding").cast("array<double>")
+    mask = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: (i % 2 == 0).cast("int"))
+    out = A.total(K.paste_back(F.slice(e, 9, 8), F.slice(e, 1, 8), mask))
+    return _t(spark, d, "embeddings").select("vec_id", out.isNotNull().alias("ok"), _r(out, "pasted"))
+
+
+@query()
+def generation_requests(spark, d):
+    rows = _t(spark, d, "conversations").groupBy(F.col("conv_id").alias("id")).agg(F.array_sort(F.collect_list("text")).alias("prompt"))
+    rows = rows.select("id", "prompt", F.lit(None).cast("array<string>").alias("negative_prompt"), F.array(F.lit(2.0)).alias("duration"), F.array(F.lit(0.5)).alias("inpaint_starts"), F.array(F.lit(1.0)).alias("inpaint_ends"))
+    return K.requests(rows).select("id", "place", "seconds_total", "samples", "latents", F.aggregate("mask", F.lit(0), lambda a, v: a + v).alias("kept"))
+
+
 @query()
 def pca_points(spark, d):
     return G.pca(_t(spark, d, "embeddings"), "embedding").select("vec_id", F.transform("pca", lambda v: F.round(v, 5)).alias("pca"))

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -105,3 +105,28 @@ def encode_stream(chunks: DataFrame, encode: Callable[[pd.DataFrame], pd.DataFra
         done.filter("error is not null").select("failed_key", "error").write.mode("overwrite").json(f"{path}/errors/batch={batch}")
 
     return chunks.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/log").trigger(availableNow=True).start()
+
+
+def micro_batches(df: DataFrame, keys: list[str], order: str, size: int, idle: Column | None = None) -> DataFrame:
+    """df with batch: groups of at most ``size`` rows in order; where ``idle`` holds, a new group begins."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    gap = F.sum(F.coalesce(idle, F.lit(False)).cast("int")).over(w) if idle is not None else F.lit(0)
+    out = df.withColumn("__g", gap)
+    place = F.row_number().over(Window.partitionBy(*keys, "__g").orderBy(order)) - 1
+    return out.withColumn("batch", F.struct("__g", F.floor(place / size).cast("int").alias("k"))).drop("__g")
+
+
+def round_robin(df: DataFrame, workers: int) -> DataFrame:
+    return df.repartition(workers)
+
+
+def unresolved(messages: DataFrame) -> DataFrame:
+    """key, expected, n of keys that are not complete; empty after a clean end."""
+    got = messages.groupBy("key").agg(F.max("expected").alias("expected"), F.count_distinct("chunk_idx").alias("n"))
+    return got.filter("expected is null or n < expected")
+
+
+def assert_resolved(messages: DataFrame) -> None:
+    left = unresolved(messages).limit(5).collect()
+    if left:
+        raise RuntimeError(f"keys are not complete, such as {[r['key'] for r in left]}")

@@ -203,3 +203,43 @@ def test_encode_plan(spark):
     assert [(r["row_base"], r["chunk_idx"], r["valid"], r["prompt"], r["tempo"]) for r in out] == [("clip2", 0, 1000, "v", None), ("id_1", 0, 1000, "d", 120), ("id_1", 1, 1000, "d", 120), ("id_1", 2, 500, "d", 120)]
     encoded = spark.createDataFrame(out).filter("not (row_base = 'id_1' and chunk_idx = 1)")
     assert [r["row_base"] for r in encode.completed(encoded).collect()] == ["clip2"]
+
+
+def test_conditioning_and_requests(spark):
+    from sparkloom.operators import conditioning as K
+
+    bag = F.create_map(F.lit("text"), F.struct(F.array(F.lit(1.0), F.lit(2.0)).alias("emb"), F.array(F.lit(1), F.lit(0)).alias("mask")), F.lit("negative_text"), F.struct(F.array(F.lit(9.0)).alias("emb"), F.array(F.lit(1)).alias("mask")), F.lit("sec"), F.struct(F.array(F.lit(5.0)).alias("emb"), F.array(F.lit(1)).alias("mask")))
+    got = one(spark, K.assemble(bag, cross=["text", "sec"], glob=["sec"], local=["sec"]))
+    assert got["cross"] == [1, 2, 5] and got["cross_mask"] == [1, 0, 1] and got["global"] == [5] and got["local"]["sec"] == [5]
+    assert one(spark, K.assemble(bag, cross=["text", "sec"], negative=True))["cross"] == [9, 5]
+    df = spark.createDataFrame([(1, ["a", "b"], None, [1.0, 2.0], [0.5], [1.0]), (2, ["c"], ["n"], [3.0], None, None)], "id long, prompt array<string>, negative_prompt array<string>, duration array<double>, inpaint_starts array<double>, inpaint_ends array<double>")
+    rows = {(r["id"], r["place"]): r for r in K.requests(df, rate=100, ratio=10, most=1000).collect()}
+    assert rows[1, 0]["samples"] == 200 and rows[1, 0]["latents"] == 20 and sum(rows[1, 0]["mask"]) == 5 and sum(rows[1, 1]["mask"]) == 15
+    assert rows[2, 0]["negative_prompt"] == "n" and sum(rows[2, 0]["mask"]) == 30
+    with pytest.raises(Exception, match="differ in number"):
+        K.requests(df.withColumn("duration", F.array(F.lit(1.0), F.lit(1.0), F.lit(1.0)))).collect()
+    t = spark.createDataFrame([(1, [[1.0, 2.0], [3.0, 4.0]], "x")], "k int, e array<array<double>>, l string")
+    assert [tuple(r) for r in K.embedding_table(t, "k", "e", "l").orderBy("frame").collect()] == [(1, 0, "x", 1.0, 3.0), (1, 1, "x", 2.0, 4.0)]
+    u = spark.range(3000).select(D.truncated_logistic("id").alias("t")).toPandas().t
+    assert 0 <= u.min() and u.max() < 1 and 0.3 < u.mean() < 0.6
+
+
+def test_more_low_rank(spark):
+    f = lambda m, r, c: spark.createDataFrame([(i, j, float(m[i][j])) for i in range(len(m)) for j in range(len(m[0]))], f"{r} int, {c} int, v double")
+    a, b, c = np.arange(6.0).reshape(3, 2), np.array([[1.0, 2], [0, 1]]), np.arange(8.0).reshape(2, 4)
+    got = {(r["r"], r["c"]): r["v"] for r in lowrank.core_product(f(a, "r", "k"), f(b, "k", "c"), f(c, "k", "c"), 2.0).collect()}
+    want = 2 * a @ b @ c
+    assert all(got[i, j] == want[i, j] for i in range(3) for j in range(4))
+    ad = spark.createDataFrame([("x", "w", 1.0, 0, 0, 2.0), ("y", "w", 1.0, 0, 0, 3.0)], "adapter string, name string, weight double, r int, c int, v double")
+    assert lowrank.merge(lowrank.set_strength(ad, {"y": 0.5})).first()["v"] == 3.5
+    assert lowrank.select_adapters(ad, remove=["x"]).count() == 1 and lowrank.adapter_count(ad).first()[0] == 2
+
+
+def test_stream_end_check(spark):
+    from sparkloom.streaming import etl
+
+    m = spark.createDataFrame([("a", 0, 1), ("b", 0, None)], "key string, chunk_idx int, expected int")
+    assert [r["key"] for r in etl.unresolved(m).collect()] == ["b"]
+    with pytest.raises(RuntimeError):
+        etl.assert_resolved(m)
+    etl.assert_resolved(m.filter("key = 'a'"))
