@@ -33,7 +33,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that sources meet their target weights, dealt out in hash order."""
-    return mixing.mix(docs).drop("copy", "shuffle_key")
+    return mixing.mix(docs, marks=False)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

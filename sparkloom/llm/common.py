@@ -75,6 +75,13 @@ def draw(*parts: Column | str | int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
+def free(name: str, taken: list[str]) -> str:
+    """name, with underscores behind it while a column has it already."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether a materialised frame has at most so many rows; decides on an explicit broadcast."""
     return df.limit(rows + 1).count() <= rows
@@ -86,3 +93,8 @@ def drop_shuffles(spark: SparkSession) -> None:
 
     gc.collect()
     spark._jvm.System.gc()
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete everything these operators left in the shared folder; results not yet read are lost with it."""
+    delete(spark, f"{shared_root(spark)}/sparkloom")

@@ -54,8 +54,10 @@ def rates(docs: DataFrame, weights: dict[str, float], other: float, scale: float
     return table.select("bucket", "rate", _distribution(F.col("rate")).alias("cdf"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, other: float = OTHER, scale: float = 1.0, seed: int = 17) -> DataFrame:
-    """The input's columns plus copy (from 0) and shuffle_key, one row per copy, dealt out in hash order.
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, other: float = OTHER, scale: float = 1.0, seed: int = 17, marks: bool = True) -> DataFrame:
+    """The input's columns plus, with marks, copy (from 0) and shuffle_key, one row per copy, dealt out in hash order.
+
+    A mark whose name the input has gets underscores behind it.
 
     Shares of the result are weights / (sum of weights + other), in expectation. A source of mass 0 (null or empty
     texts only) and a weight of 0 give no copies. Null sources belong to the rest. Repeated rows draw alike. A null
@@ -79,7 +81,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, other: float =
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = copies.repartition(n, "__key").sortWithinPartitions("__key")
-    return dealt.select(*[F.col(f"`{c}`") for c in keep], F.col("__copy").cast("int").alias("copy"), F.col("__key").alias("shuffle_key"))
+    own = [F.col("__copy").cast("int").alias(C.free("copy", keep)), F.col("__key").alias(C.free("shuffle_key", keep))]
+    return dealt.select(*[F.col(f"`{c}`") for c in keep], *(own if marks else []))
 
 
 SQL = f"""

@@ -7,7 +7,9 @@ from sparkloom.llm import mixing as M
 def test_shares_follow_weights_and_odd_rows(spark):
     rows = [(i, "x" * (20 + i % 30), "hot" if i % 3 else f"s{i % 5}", i) for i in range(6000)] + [(None, "n", None, 0), (7, None, "s1", 0), (8, "", "empty", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, copy int")
-    out = M.mix(df.withColumnRenamed("copy", "extra"), {"hot": 0.2, "s0": 0.5, "empty": 0.1}, other=0.2).collect()
+    out = M.mix(df, {"hot": 0.2, "s0": 0.5, "empty": 0.1}, other=0.2)
+    assert out.columns == [*df.columns, "copy_", "shuffle_key"] and M.mix(df, marks=False).columns == df.columns
+    out = out.collect()
     mass = {}
     for r in out:
         k = r["source"] if r["source"] in ("hot", "s0", "empty") else "rest"
@@ -18,7 +20,7 @@ def test_shares_follow_weights_and_odd_rows(spark):
     assert "empty" not in mass
     copies = {}
     for r in out:
-        copies.setdefault(r["doc_id"], []).append(r["copy"])
+        copies.setdefault(r["doc_id"], []).append(r["copy_"])
     assert all(sorted(v) == list(range(len(v))) for d, v in copies.items() if d not in (7, 8, None))
 
 

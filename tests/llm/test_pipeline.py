@@ -93,3 +93,16 @@ def test_run_and_empty_input(spark):
     for name, stage in P.STAGES:
         docs = C.materialize(stage(spark, docs, SF), name)
     assert docs.count() == 0
+
+
+def test_odd_rows_pass_through_every_stage(spark):
+    rows = [(1, "Some words to keep here.", "en", "src0", 24), (1, "Some words to keep here.", "en", "src0", 24), (None, None, None, None, None), (2, "", None, "src1", 0), (3, "x " * 60_000, "en", None, None), (None, "Some words to keep here.", "en", "src9", 24)]
+    docs = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, copy int, shuffle_key string")
+    for name, stage in P.STAGES:
+        columns = docs.columns
+        docs = C.materialize(stage(spark, docs, SF), name)
+        if name != "token_output":
+            assert docs.columns == columns
+        if name == "simhash_near_dedup":
+            assert sorted((r["doc_id"] or -1, len(r["text"] or "")) for r in docs.collect()) in ([(1, 24), (2, 0), (3, 120_000)],)
+    assert docs.count() > 0
