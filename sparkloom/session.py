@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +26,13 @@ def get_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did. On a cluster whose machines do not share that
+    folder, install the package or send it with --py-files."""
+    root = str(Path(__file__).resolve().parent.parent)
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
