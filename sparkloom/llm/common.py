@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Whitespace of the text contracts: space and the ASCII controls 0x09 to 0x0D.
 WS = "\t\n\x0b\x0c\r "
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -54,6 +56,7 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
     """Python workers hold one Arrow batch at a time; fewer rows a batch bound memory when texts are long."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
