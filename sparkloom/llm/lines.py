@@ -36,14 +36,16 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataF
     rows = d.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), "text")
     repeated = not rows.groupBy("k").count().filter("count > 1").isEmpty()
     hashes = F.transform(F.split("text", "\n"), lambda x: _hash(x, min_chars))
-    once = rows.select("k", F.explode(F.filter(F.array_distinct(hashes), lambda h: h.isNotNull())).alias("h"))
+    # lines are cut and hashed once; counting and dropping read 16 bytes a line
+    hashed = C.materialize(rows.select("k", F.xxhash64("text").alias("t"), hashes.alias("hashes")), "line-hashes")
+    once = hashed.select("k", F.explode(F.filter(F.array_distinct("hashes"), lambda h: h.isNotNull())).alias("h"))
     n_docs = F.count_distinct("k") if repeated else F.count(F.lit(1))
     frequent = C.materialize(
         once.groupBy(F.col("h.a").alias("a"), F.col("h.b").alias("b")).agg(n_docs.alias("n"), F.max("k").alias("last")).filter(F.col("n") >= min_docs).select("a", "b", "last"),
         "frequent-lines",
     )
     small = F.broadcast(frequent) if C.fits(frequent, BROADCAST_KEYS) else frequent
-    at = rows.select("k", F.xxhash64("text").alias("t"), F.posexplode(hashes).alias("pos", "h")).filter("h is not null")
+    at = hashed.select("k", "t", F.posexplode("hashes").alias("pos", "h")).filter("h is not null")
     drops = (
         at.select("k", "t", "pos", F.col("h.a").alias("a"), F.col("h.b").alias("b"))
         .join(small, ["a", "b"])
