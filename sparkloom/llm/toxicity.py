@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import common as C
 
@@ -123,10 +124,6 @@ class Ordinal:
         return cls(*unpack(params))
 
 
-def _batch(texts: list[str]) -> pa.Array:
-    return pa.array(texts, pa.large_string())
-
-
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY) -> Ordinal | None:
     """labels: (doc_id, toxic). Null ids and labels other than 0 and 1 are left out. None where a class is missing.
 
@@ -189,7 +186,7 @@ def score(docs: DataFrame, model: Ordinal | None) -> DataFrame:
     if model is None:
         return docs.withColumn("severity", F.lit(0.0))
     C.bounded_batches(docs.sparkSession)
-    spark, text = docs.sparkSession, docs.columns.index("text")
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = Lookup(model.vocabulary)
@@ -198,9 +195,6 @@ def score(docs: DataFrame, model: Ordinal | None) -> DataFrame:
             z = np.bincount(row, np.log1p(value) * model.weights[col], minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.severity(z))], names=[*batch.schema.names, "severity"])
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    del spark
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("severity", DoubleType())]))
 
 
