@@ -316,10 +316,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, memory: int = QUEUE_BY
     some = met.filter("own is not null")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The segment of every sampled suffix; contents already given by this task go without their bytes."""
+        """The segment of every sampled suffix; again counts a content's rows in this task, up to 2, and only the first
+        has the bytes."""
         import xxhash
 
-        seen: set[tuple[int, int]] = set()
+        seen: dict[tuple[int, int], int] = {}
         for batch in batches:
             out: list[tuple] = []
             for k, t, text, own in zip(*(batch.column(c).to_pylist() for c in ("k", "t")), batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("own").to_pylist(), strict=True):
@@ -328,19 +329,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, memory: int = QUEUE_BY
                     seg = text[i : i + n - 1 + length]
                     s = xxhash.xxh3_64_intdigest(seg)
                     s -= (s >> 63) << 64
-                    again = (h, s) in seen
-                    if not again:
-                        if len(seen) >= 400_000:
-                            seen.clear()
-                        seen.add((h, s))
-                    out.append((h, s, k, t, i, n, x["shift"], int(again), None if again else seg))
+                    again = seen.get((h, s), 0)
+                    if not again and len(seen) >= 400_000:
+                        seen.clear()
+                    seen[h, s] = min(again + 1, 2)
+                    out.append((h, s, k, t, i, n, x["shift"], again, None if again else seg))
             kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], kind) for kind in kinds], names=["h", "s", "k", "t", "i", "count", "shift", "again", "seg"])
 
     C.bounded_batches(spark, 256)
     segments = C.materialize(some.mapInArrow(cut, "h long, s long, k long, t long, i int, count int, shift int, again int, seg binary"), "segments")
     C.bounded_batches(spark, 8_192)
-    dealt = segments.select("h", "s", "again", "shift", "count", "seg").repartition(n_parts, "h").sortWithinPartitions("h", "s", "again")
+    # two rows of a task say that a content repeats; more would only crowd the shard of a common one
+    dealt = segments.filter("again < 2").select("h", "s", "again", "shift", "count", "seg").repartition(n_parts, "h").sortWithinPartitions("h", "s", "again")
     verdicts = C.materialize(dealt.mapInArrow(lambda b: _shard(b, length, memory), "h long, s long, a int, b int"), "repeated-windows")
     C.drop_shuffles(spark)
     spans = segments.select("h", "s", "k", "t", "i").join(verdicts, ["h", "s"])
