@@ -91,11 +91,15 @@ def fits(df: DataFrame, rows: int) -> bool:
 
 
 def drop_shuffles(spark: SparkSession) -> None:
-    """Let the driver notice that shuffles of finished jobs are not referred to any more, so that their files go."""
+    """Let the driver notice that shuffles of finished jobs are not referred to any more, and give it time to have
+    their files deleted before the next ones are written."""
     import gc
+    import time
 
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def cleanup(spark: SparkSession) -> None:

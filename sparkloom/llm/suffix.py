@@ -343,6 +343,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, memory: int = QUEUE_BY
     # two rows of a task say that a content repeats; more would only crowd the shard of a common one
     dealt = segments.filter("again < 2").select("h", "s", "again", "shift", "count", "seg").repartition(n_parts, "h").sortWithinPartitions("h", "s", "again")
     verdicts = C.materialize(dealt.mapInArrow(lambda b: _shard(b, length, memory), "h long, s long, a int, b int"), "repeated-windows")
+    del dealt
     C.drop_shuffles(spark)
     spans = segments.select("h", "s", "k", "t", "i").join(verdicts, ["h", "s"])
     spans = spans.groupBy("k", "t").agg(F.collect_set(F.struct((F.col("i") + F.col("a")).alias("a"), (F.col("i") + F.col("b") - 1 + length).alias("b"))).alias("spans"))
