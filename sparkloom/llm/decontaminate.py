@@ -4,8 +4,8 @@ Numbers, names and units become typed placeholders, so that a question asked aga
 template. Windows of template tokens are hash-joined with the benchmark's; of documents that meet an item, every
 window is then compared, and values must fill an item's slots consistently.
 
-Documents list every STRIDE-th window on the first pass and benchmark items list all of theirs, so that a common run of
-WINDOW + STRIDE - 1 tokens is always met.
+Both sides list all of their windows, so that an item is met wherever it starts, also one of a single window. Tokens are
+hashed once and windows are hashes of their tokens' hashes.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-WINDOW, STRIDE = 8, 4
+WINDOW = 8
 #: Share of an item's windows that a document must hold; plain tokens that a window must have to count.
 COVERAGE, PLAIN = 0.6, 4
 #: Benchmark windows (about 100 bytes each) and candidate documents (16 bytes each) up to these counts are broadcast.
@@ -52,8 +52,13 @@ def _template(window: Column) -> Column:
     return F.transform(window, lambda x: F.when(F.substring(x, 1, 1).isin(NUMBER, NAME, UNIT), F.substring(x, 1, 1)).otherwise(x))
 
 
-def _starts(n: Column, width: int, stride: int) -> Column:
-    return F.when(n >= width, F.sequence(F.lit(0), n - width, F.lit(stride))).otherwise(F.array().cast("array<int>"))
+def _starts(n: Column, width: int) -> Column:
+    return F.when(n >= width, F.sequence(F.lit(0), n - width)).otherwise(F.array().cast("array<int>"))
+
+
+def _hash(window: Column, width: Column) -> Column:
+    """Of a window of template tokens; _hashes() gives the same for all windows of a text."""
+    return F.xxhash64(width, F.transform(window, lambda x: F.xxhash64(x)))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -64,15 +69,16 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = items.select("item_id", "w", "tokens", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("w"))).alias("q"))
     rows = rows.select("item_id", "q", "w", F.slice("tokens", F.col("q") + 1, F.col("w")).alias("item"))
     rows = rows.filter(_plain(F.col("item")) >= F.least(F.lit(PLAIN), F.ceil(F.col("w") / 2)))
-    return C.materialize(rows.select("item_id", "q", "w", F.xxhash64(F.col("w"), _template(F.col("item"))).alias("hash"), "item"), "benchmark-windows")
+    return C.materialize(rows.select("item_id", "q", "w", _hash(_template(F.col("item")), F.col("w")).alias("hash"), "item"), "benchmark-windows")
 
 
-def _hashes(words: Column, widths: list[int], stride: int) -> Column:
-    one = lambda w, s: F.transform(_starts(F.size(words), w, s), lambda i: F.xxhash64(F.lit(w), F.slice(words, i + 1, w)))
-    return F.flatten(F.array(*[one(w, stride if w == max(widths) and w >= WINDOW else 1) for w in widths]))
+def _hashes(words: Column, widths: list[int]) -> Column:
+    """Hashes of all windows, from the hashes of the tokens."""
+    one = lambda w: F.transform(_starts(F.size(words), w), lambda i: F.xxhash64(F.lit(w), F.slice(words, i + 1, w)))
+    return F.flatten(F.array(*map(one, widths)))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, stride: int = STRIDE, coverage: float = COVERAGE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, t (hash of the text), item_id, n_windows, n_found, coverage: documents that hold enough of an item.
 
     Null texts and items hold nothing; null item_ids are left out; a null doc_id is reported as null. Rows that repeat
@@ -83,17 +89,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, st
     small = lambda df, n: F.broadcast(df) if C.fits(df, n) else df
     held = C.materialize(bench.select("hash", "item_id").distinct(), "benchmark-hashes")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
-    first = rows.select("doc_id", "t", tokens(F.col("text"), False).alias("tokens"))
-    first = first.select("doc_id", "t", F.explode(F.array_distinct(_hashes(F.col("tokens"), widths, stride))).alias("hash"))
+    first = rows.select("doc_id", "t", F.transform(tokens(F.col("text"), False), lambda x: F.xxhash64(x)).alias("tokens"))
+    first = first.select("doc_id", "t", F.explode(F.array_distinct(_hashes(F.col("tokens"), widths))).alias("hash"))
     pairs = C.materialize(first.join(small(held, BROADCAST_WINDOWS), "hash").select("doc_id", "t", "item_id").distinct(), "benchmark-candidates")
 
     some = C.materialize(pairs.select(F.col("doc_id").alias("d"), F.col("t").alias("u")).distinct(), "candidate-documents")
     texts = rows.join(small(some, BROADCAST_DOCS), [rows["doc_id"].eqNullSafe(F.col("d")), rows["t"] == F.col("u")], "left_semi").dropDuplicates(["doc_id", "t"])
     words = texts.select("doc_id", "t", tokens(F.col("text"), True).alias("tokens"))
-    place = lambda w: F.transform(_starts(F.size("tokens"), w, 1), lambda i: F.struct(i.alias("p"), F.lit(w).alias("w")))
+    place = lambda w: F.transform(_starts(F.size("tokens"), w), lambda i: F.struct(i.alias("p"), F.lit(w).alias("w")))
     each = F.flatten(F.array(*[place(w) for w in widths]))
     at = words.select("doc_id", "t", "tokens", F.explode(each).alias("at")).select("doc_id", "t", "at.p", "at.w", F.slice("tokens", F.col("at.p") + 1, F.col("at.w")).alias("own"))
-    at = at.withColumn("hash", F.xxhash64(F.col("w"), _template(F.col("own")))).drop("w")
+    at = at.withColumn("hash", _hash(_template(F.col("own")), F.col("w"))).drop("w")
     met = at.join(small(bench.drop("w"), BROADCAST_WINDOWS), "hash").filter(_template(F.col("own")) == _template(F.col("item")))
     slots = F.filter(F.arrays_zip("item", "own"), lambda x: F.substring(x["item"], 1, 1).isin(NUMBER, NAME, UNIT))
     met = met.select("doc_id", "t", "item_id", "q", (F.col("p") - F.col("q")).alias("diagonal"), slots.alias("slots"))

@@ -62,3 +62,13 @@ def test_against_brute_force(spark):
                 want.add((r["doc_id"], k))
     got = {(r["doc_id"], r["item_id"]) for r in D.digest(docs, bench).collect()}
     assert want and got == want
+
+
+def test_few_windows_at_every_offset(spark):
+    words = "amber boats carry dusty engines from green harbours into"  # 9 tokens, then 8, 10 and an item of which 3 windows of 5 are held
+    items = [(1, words), (2, words.replace("amber ", "").replace("dusty", "rusty")), (3, words + " jars"), (4, "old oak doors " + " ".join(f"{x}ing" for x in "abcdefghi"))]
+    held = [items[0][1], items[1][1], items[2][1], " ".join(items[3][1].split()[2:])]
+    docs = [(10 * k + n, "so " * n + held[k - 1] + " end of it") for k in (1, 2, 3, 4) for n in range(4)]
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in got}
+    assert {(10 * k + n, k) for k in (1, 2, 3, 4) for n in range(4)} <= got
