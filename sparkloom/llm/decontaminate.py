@@ -5,7 +5,8 @@ template. Windows of template tokens are hash-joined with the benchmark's; of do
 window is then compared, and values must fill an item's slots consistently.
 
 Both sides list all of their windows, so that an item is met wherever it starts, also one of a single window. Tokens are
-hashed once and windows are hashes of their tokens' hashes.
+hashed once and windows are hashes of their tokens' hashes. Windows of mostly placeholders say little as templates;
+they are compared with their values and count beside the others, so that a verbatim copy of numbers is found.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WINDOW = 8
-#: Share of an item's windows that a document must hold; plain tokens that a window must have to count.
+#: Share of an item's windows that a document must hold; plain tokens that a window must have to count as a template.
 COVERAGE, PLAIN = 0.6, 4
 #: Benchmark windows (about 100 bytes each) and candidate documents (16 bytes each) up to these counts are broadcast.
 BROADCAST_WINDOWS, BROADCAST_DOCS = 300_000, 1_000_000
@@ -43,38 +44,52 @@ def tokens(text: Column, values: bool) -> Column:
     return F.filter(F.split(F.lower(t), rf"[^\p{{L}}\p{{N}}{NUMBER}-{POINT}]+"), lambda x: x != "")
 
 
-def _plain(window: Column) -> Column:
-    return F.size(F.filter(window, lambda x: ~F.substring(x, 1, 1).isin(NUMBER, NAME, UNIT)))
+def _bare(token: Column) -> Column:
+    """A token with its value, without it."""
+    return F.when(_placeholder(token), F.substring(token, 1, 1)).otherwise(token)
+
+
+def _placeholder(token: Column) -> Column:
+    return F.substring(token, 1, 1).isin(NUMBER, NAME, UNIT)
+
+
+def _enough(placeholders: Column, width: Column) -> Column:
+    """Whether a window has plain tokens enough for a template."""
+    return width - placeholders >= F.least(F.lit(PLAIN), F.ceil(width / 2))
 
 
 def _template(window: Column) -> Column:
     """A window of tokens with values, without them."""
-    return F.transform(window, lambda x: F.when(F.substring(x, 1, 1).isin(NUMBER, NAME, UNIT), F.substring(x, 1, 1)).otherwise(x))
+    return F.transform(window, _bare)
 
 
 def _starts(n: Column, width: int) -> Column:
     return F.when(n >= width, F.sequence(F.lit(0), n - width)).otherwise(F.array().cast("array<int>"))
 
 
-def _hash(window: Column, width: Column) -> Column:
-    """Of a window of template tokens; _hashes() gives the same for all windows of a text."""
-    return F.xxhash64(width, F.transform(window, lambda x: F.xxhash64(x)))
+def _with_hash(df: DataFrame, window: str) -> DataFrame:
+    """With exact and hash of a column's windows of w tokens with values; _hashes() gives the same hashes for all windows of a text."""
+    df = df.withColumn("exact", ~_enough(F.size(F.filter(window, _placeholder)), F.col("w")))
+    hashed = F.transform(F.when(F.col("exact"), F.col(window)).otherwise(_template(F.col(window))), lambda x: F.xxhash64(x))
+    return df.withColumn("hash", F.xxhash64(F.when(F.col("exact"), -F.col("w")).otherwise(F.col("w")), hashed))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, q, w, hash, item): the windows of every item, materialised. An item shorter than the window is one
-    window of its own length; windows of mostly placeholders do not count; items without tokens have none."""
+    """(item_id, q, w, exact, hash, item): the windows of every item, materialised. An item shorter than the window is
+    one window of its own length; windows of mostly placeholders are exact; items without tokens have none."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text"), True).alias("tokens")).filter("item_id is not null and size(tokens) > 0")
     items = items.withColumn("w", F.least(F.lit(window), F.size("tokens")))
     rows = items.select("item_id", "w", "tokens", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("w"))).alias("q"))
     rows = rows.select("item_id", "q", "w", F.slice("tokens", F.col("q") + 1, F.col("w")).alias("item"))
-    rows = rows.filter(_plain(F.col("item")) >= F.least(F.lit(PLAIN), F.ceil(F.col("w") / 2)))
-    return C.materialize(rows.select("item_id", "q", "w", _hash(_template(F.col("item")), F.col("w")).alias("hash"), "item"), "benchmark-windows")
+    return C.materialize(_with_hash(rows, "item").select("item_id", "q", "w", "exact", "hash", "item"), "benchmark-windows")
 
 
-def _hashes(words: Column, widths: list[int]) -> Column:
-    """Hashes of all windows, from the hashes of the tokens."""
-    one = lambda w: F.transform(_starts(F.size(words), w), lambda i: F.xxhash64(F.lit(w), F.slice(words, i + 1, w)))
+def _hashes(widths: list[int], exact: set[int]) -> Column:
+    """Hashes of all windows, from the hashes of the tokens: plain, and for exact widths own (with values) and held (1 for a placeholder)."""
+    at = lambda c, i, w: F.slice(c, i + 1, w)
+    template = lambda i, w: F.xxhash64(F.lit(w), at("plain", i, w))
+    either = lambda i, w: F.when(_enough(w - F.size(F.array_remove(at("held", i, w), 1)), F.lit(w)), template(i, w)).otherwise(F.xxhash64(F.lit(-w), at("own", i, w)))
+    one = lambda w: F.transform(_starts(F.size("plain"), w), lambda i: (either if w in exact else template)(i, w))
     return F.flatten(F.array(*map(one, widths)))
 
 
@@ -85,12 +100,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     doc_id and text are reported once. Either table may be empty.
     """
     bench = benchmark_windows(benchmark, window)
-    widths = [r["w"] for r in bench.select("w").distinct().orderBy("w").collect()] or [window]
+    kinds = {(r["w"], r["exact"]) for r in bench.select("w", "exact").distinct().collect()}  # at most two a width
+    widths, exact = sorted({w for w, _ in kinds}) or [window], {w for w, e in kinds if e}
     small = lambda df, n: F.broadcast(df) if C.fits(df, n) else df
     held = C.materialize(bench.select("hash", "item_id").distinct(), "benchmark-hashes")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
-    first = rows.select("doc_id", "t", F.transform(tokens(F.col("text"), False), lambda x: F.xxhash64(x)).alias("tokens"))
-    first = first.select("doc_id", "t", F.explode(F.array_distinct(_hashes(F.col("tokens"), widths))).alias("hash"))
+    first = rows.select("doc_id", "t", tokens(F.col("text"), bool(exact)).alias("tokens"))
+    hashed = [F.transform("tokens", lambda x: F.xxhash64(_bare(x) if exact else x)).alias("plain")]
+    if exact:
+        hashed += [F.transform("tokens", lambda x: F.xxhash64(x)).alias("own"), F.transform("tokens", lambda x: _placeholder(x).cast("int")).alias("held")]
+    first = first.select("doc_id", "t", *hashed).select("doc_id", "t", F.explode(F.array_distinct(_hashes(widths, exact))).alias("hash"))
     pairs = C.materialize(first.join(small(held, BROADCAST_WINDOWS), "hash").select("doc_id", "t", "item_id").distinct(), "benchmark-candidates")
 
     some = C.materialize(pairs.select(F.col("doc_id").alias("d"), F.col("t").alias("u")).distinct(), "candidate-documents")
@@ -99,10 +118,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     place = lambda w: F.transform(_starts(F.size("tokens"), w), lambda i: F.struct(i.alias("p"), F.lit(w).alias("w")))
     each = F.flatten(F.array(*[place(w) for w in widths]))
     at = words.select("doc_id", "t", "tokens", F.explode(each).alias("at")).select("doc_id", "t", "at.p", "at.w", F.slice("tokens", F.col("at.p") + 1, F.col("at.w")).alias("own"))
-    at = at.withColumn("hash", _hash(_template(F.col("own")), F.col("w"))).drop("w")
-    met = at.join(small(bench.drop("w"), BROADCAST_WINDOWS), "hash").filter(_template(F.col("own")) == _template(F.col("item")))
-    slots = F.filter(F.arrays_zip("item", "own"), lambda x: F.substring(x["item"], 1, 1).isin(NUMBER, NAME, UNIT))
-    met = met.select("doc_id", "t", "item_id", "q", (F.col("p") - F.col("q")).alias("diagonal"), slots.alias("slots"))
+    at = _with_hash(at, "own").drop("w", "exact")
+    same = F.when(F.col("exact"), F.col("own") == F.col("item")).otherwise(_template(F.col("own")) == _template(F.col("item")))
+    met = at.join(small(bench.drop("w"), BROADCAST_WINDOWS), "hash").filter(same)
+    slots = F.filter(F.arrays_zip("item", "own"), lambda x: ~F.col("exact") & _placeholder(x["item"]))
+    met = met.select("doc_id", "t", "item_id", "q", "exact", (F.col("p") - F.col("q")).alias("diagonal"), slots.alias("slots"))
     met = C.materialize(met, "benchmark-matches")
 
     line = ["doc_id", "t", "item_id", "diagonal"]
@@ -110,9 +130,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     bad = filled.filter("a <> b").select(*[F.col(c).alias(f"bad_{c}") for c in line]).distinct()
     same = [met[c].eqNullSafe(F.col(f"bad_{c}")) for c in line]
     good = met.join(bad, same, "left").filter(F.col("bad_t").isNull() | (F.size("slots") == 0))
-    total = bench.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    found = good.groupBy("doc_id", "t", "item_id").agg(F.count_distinct("q").alias("n_found"))
-    out = found.join(total, "item_id").withColumn("coverage", F.col("n_found") / F.col("n_windows"))
+    # an item is held by its templates alone, as with other values, or by all windows, as in a verbatim copy
+    template = F.when(~F.col("exact"), F.col("q"))
+    total = bench.groupBy("item_id").agg(F.count(template).alias("n_templates"), F.count(F.lit(1)).alias("n_all"))
+    found = good.groupBy("doc_id", "t", "item_id").agg(F.count_distinct(template).alias("templates"), F.count_distinct("q").alias("all"))
+    out = found.join(total, "item_id")
+    loose = (F.col("n_templates") > 0) & (F.col("templates") / F.greatest("n_templates", F.lit(1)) >= coverage)
+    for name, one, other in (("n_windows", "n_templates", "n_all"), ("n_found", "templates", "all")):
+        out = out.withColumn(name, F.when(loose, F.col(one)).otherwise(F.col(other)))
+    out = out.withColumn("coverage", F.col("n_found") / F.col("n_windows"))
     return out.filter(F.col("coverage") >= coverage).select("doc_id", "t", "item_id", "n_windows", "n_found", "coverage")
 
 

@@ -72,3 +72,12 @@ def test_few_windows_at_every_offset(spark):
     got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     got = {(r["doc_id"], r["item_id"]) for r in got}
     assert {(10 * k + n, k) for k in (1, 2, 3, 4) for n in range(4)} <= got
+
+
+def test_numbers_are_met_with_their_values(spark):
+    items = [(1, "1 2 3 4 5 6 7 8 9 10 11 12"), (2, "17 + 25 ="), (3, "the sum of these few plain words is 3 km 5 kg 7 cm 9 mg 11 km 13 kg 15 cm 17 mg 19 km 21 kg 23 cm 25 mg 27 km 29 kg")]
+    tail = items[2][1].split("words is ")[1]
+    docs = [(1, "count 1 2 3 4 5 6 7 8 9 10 11 12 now"), (2, "count 2 3 4 5 6 7 8 9 10 11 12 13 14 now"), (3, "count 21 22 23 24 25 26 27 28 29 30 31 32"), (4, "is 17 + 25 = 42"), (5, "is 18 + 25 = 43"), (6, "a table of " + tail), (7, items[2][1].replace("3 km 5 kg", "4 km 6 kg"))]
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    # 2: four of the first item's five windows; 6: most windows, but none of the few templates; 7: templates with other values
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (2, 1), (4, 2), (6, 3), (7, 3)]
