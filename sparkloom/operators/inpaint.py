@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 KINDS = ("segments", "full", "causal", "spans")
 #: Chances of 1, 2, 3 and 4 spans, in proportion (fixed values).
 SPAN_COUNTS = (4, 2, 1, 1)
+#: Positions of masks that are held at a time.
+BLOCK = 1 << 22
 
 
 def _spans(n: int, rng: np.random.Generator) -> np.ndarray:
@@ -52,11 +54,15 @@ def random_masks(df: DataFrame, seed: int = 0) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            out = []
+            out, held = [], 0
             for i, n in zip(pdf["id"], pdf["n"], strict=True):
                 rng = np.random.default_rng([seed, int(i)])
                 kind = KINDS[int(rng.integers(len(KINDS)))]
-                out.append((i, kind, draw_mask(kind, int(n), rng).tolist()))
+                out.append((i, kind, draw_mask(kind, int(n), rng).astype(np.int32)))
+                held += int(n)
+                if held > BLOCK:
+                    yield pd.DataFrame(out, columns=["id", "kind", "mask"])
+                    out, held = [], 0
             yield pd.DataFrame(out, columns=["id", "kind", "mask"])
 
     return df.select("id", "n").mapInPandas(run, "id long, kind string, mask array<int>")

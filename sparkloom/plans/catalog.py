@@ -213,7 +213,7 @@ def ceil_mask_resize(spark, d):
 SELECT doc_id, (SELECT count(*) FROM range(0, least(n_chars, 200)) t(i) WHERE NOT (i >= 10 AND i < 20) AND NOT (i >= 50 AND i < 80) AND i < 150)::INTEGER AS kept FROM documents""")
 def interval_mask(spark, d):
     regions = F.array(F.struct(F.lit(10).alias("s"), F.lit(20).alias("e")), F.struct(F.lit(50).alias("s"), F.lit(80).alias("e")))
-    mask = A.interval_mask(F.least("n_chars", F.lit(200)), regions, F.lit(150))
+    mask = A.interval_mask(F.coalesce("n_chars", F.lit(200)), regions, F.lit(150))
     return _t(spark, d, "documents").select("doc_id", F.aggregate(mask, F.lit(0), lambda a, v: a + v).alias("kept"))
 
 
@@ -540,7 +540,7 @@ def shard_packing(spark, d):
 @query()
 def caption_conditions(spark, d):
     docs = _t(spark, d, "documents").select(
-        "doc_id", F.concat(F.lit("Genre: Folk\n\n"), F.substring("text", 1, 400)).alias("dense_caption"), F.substring("text", 1, 200).alias("vivid_caption"), F.substring("text", 1, 60).alias("one_line_caption"),
+        "doc_id", F.concat(F.lit("Genre: Folk\n\n"), F.col("text")).alias("dense_caption"), F.col("text").alias("vivid_caption"), F.col("text").alias("one_line_caption"),
         F.lit("Folk").alias("genre"), F.lit("Indie, Folk, Ballad").alias("subgenres"), (F.col("n_chars") % 90 + 60.5).alias("bpm"), F.when(F.col("doc_id") % 2 == 0, "yes").otherwise("no").alias("bpm_valid"),
     )
     return R.caption_condition(docs, "doc_id").select("doc_id", "bucket", "policy", "prompt", "tempo")
@@ -572,4 +572,4 @@ def euler_sampler(spark, d):
 def inpaint_masks(spark, d):
     from ..operators.inpaint import random_masks
 
-    return random_masks(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.least("n_chars", F.lit(256)).cast("int").alias("n")))
+    return random_masks(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.coalesce("n_chars", F.lit(256)).cast("int").alias("n")))
