@@ -86,9 +86,9 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _hashes(widths: list[int], exact: set[int]) -> Column:
     """Hashes of all windows, from the hashes of the tokens: plain, and for exact widths own (with values) and held (1 for a placeholder)."""
-    at = lambda c, i, w: F.slice(c, i + 1, w)
-    template = lambda i, w: F.xxhash64(F.lit(w), at("plain", i, w))
-    either = lambda i, w: F.when(_enough(w - F.size(F.array_remove(at("held", i, w), 1)), F.lit(w)), template(i, w)).otherwise(F.xxhash64(F.lit(-w), at("own", i, w)))
+    at = lambda c, i, w: [F.get(c, i + k) for k in range(w)]  # noqa: E731; slice() copies the whole array for every window
+    template = lambda i, w: F.xxhash64(F.lit(w), *at("plain", i, w))
+    either = lambda i, w: F.when(_enough(sum(at("held", i, w), F.lit(0)), F.lit(w)), template(i, w)).otherwise(F.xxhash64(F.lit(-w), *at("own", i, w)))
     one = lambda w: F.transform(_starts(F.size("plain"), w), lambda i: (either if w in exact else template)(i, w))
     return F.flatten(F.array(*map(one, widths)))
 
