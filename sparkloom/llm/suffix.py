@@ -6,21 +6,30 @@ bytes only, and only those need one that share a sampled core with another suffi
 1. Every window of ``length`` bytes has an anchor: the position in it whose core of CORE bytes hashes least. Equal
    windows have equal anchors, so anchors are sampled suffixes that depend on content alone.
 2. Cores that occur once are left out: no window with such an anchor repeats.
-3. Sampled suffixes are dealt into shards by core and come in sorted runs; within a shard they are sorted by content,
-   with the common prefix of neighbours. Equal contents are one suffix with a multiplicity.
-4. The order of all other suffixes is induced: the suffixes one byte to the left, in the order of their first byte and
-   then of the suffix they came from. A queue with a bucket a byte value, spilled to disk beyond a bound, takes tuples
-   (suffix, common prefix) in the old order and gives them in the new one; a common prefix is one more than the least
-   on the way from the last tuple of the same bucket. Each induced suffix feeds the next round, until its anchor has
-   no window farther left.
-5. A window repeats if the common prefix with a neighbour is ``length`` or more, or its content occurs twice.
-
-Texts are shuffled once to meet their sampled suffixes; after that only texts with a repeated core move.
+3. Sampled suffixes are dealt into shards by core. A core with more than HOT of them is split by the bytes around it:
+   windows whose anchor lies from ``lo`` to ``hi`` bytes behind their start all hold the bytes from ``lo`` before the
+   anchor to ``length - hi`` behind it, so equal windows share a hash of those and meet in one of several smaller keys.
+4. Within a shard the sampled suffixes come sorted by their bytes from Spark's own external sort, which writes runs to
+   disk and merges them, and are read as a stream; neighbours give their common prefix.
+5. The order of all other suffixes is induced from right to left, a byte a round: the suffixes one byte to the left, in
+   the order of their first byte and then of the suffix they came from. A priority queue with a bucket a byte value
+   takes tuples (suffix, common prefix, bytes still to the left) in the old order and gives them in the new one; beyond
+   a bound its tuples go to files, so a shard or a single core may be far larger than memory. A common prefix is one
+   more than the least on the way from the last tuple of the same bucket. Each round feeds the next.
+6. A window repeats if the common prefix with a neighbour is ``length`` or more, or its content occurs twice. Runs of
+   such windows travel in the tuples and leave as a stream, too.
+
+Why one level of sampling is enough: induced sorting recurses to order sampled suffixes whose strings up to the next
+sample are equal, as suffixes of unbounded length need it. Here two suffixes that agree on ``length`` bytes need no
+order, so step 4 settles all sampled suffixes by at most ``length`` bytes and the reduced string of names would only
+be compared to that depth. The induction itself is applied to its own results, ``length - CORE`` rounds deep.
+
+Texts are shuffled twice: to meet their sampled suffixes, and to meet the spans that go.
 """
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +44,13 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _POSITION_BITS = 20
 #: Bytes of a text whose anchors are found at a time; windows are never cut by it.
 STRETCH = 1 << 19
-#: Suffixes of a shard that are sorted together; a core with more is sorted in files instead of memory.
+#: Suffixes of a shard that are induced together; a core with more stays together, its tuples in files.
 BLOCK = 16_384
 #: Bytes of tuples that a queue holds before it writes to disk; tuples taken from it at a time.
-QUEUE_BYTES, TAKE = 32 << 20, 4_096
-_NO_ID = -(1 << 63)
-_PACK = np.dtype([("row", "<i4"), ("lcp", "u1")])
+QUEUE_BYTES, TAKE = 8 << 20, 4_096
+#: Sampled suffixes of one core from which it is split by the bytes around it, and the width of the split.
+HOT, SPLIT = 20_000, 40
+_NO_ID, _CLOSED = -(1 << 63), 255
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -88,16 +98,21 @@ def anchors(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-class TupleQueue:
-    """Tuples in, in order; out by byte value, first in first out among equal ones. Spills to a file beyond a bound.
+def _tuples(width: int) -> np.dtype:
+    """Names of a suffix (core, content), common prefix with the tuple before, the anchor's distance, the least one of
+    its windows, whether its content repeats, where a run of repeated windows began, and the bytes still to the left."""
+    return np.dtype([("h", "<i8"), ("s", "<i8"), ("lcp", "u1"), ("shift", "u1"), ("low", "u1"), ("many", "u1"), ("open", "u1"), ("left", "u1", (width,))])
 
-    Files are private to a task and vanish with it.
-    """
 
-    def __init__(self, memory: int):
-        self.memory, self.held, self.file = memory, 0, None
+class TupleQueue:
+    """Tuples in, in order; out by byte value, first in first out among equal ones. Beyond ``memory`` bytes they go to
+    files below ``folder``, in the storage that survives a lost executor; a retried task writes files of its own."""
+
+    def __init__(self, kind: np.dtype, memory: int, folder: str):
+        self.kind, self.memory, self.folder, self.held = kind, memory, folder, 0
+        self.files: list[str] = []
         self.buckets: list[list[np.ndarray]] = [[] for _ in range(256)]
-        self.runs: list[list[tuple[int, int]]] = [[] for _ in range(256)]
+        self.runs: list[list[tuple[int, int, int]]] = [[] for _ in range(256)]
 
     def push(self, bytes_: np.ndarray, tuples: np.ndarray) -> None:
         """bytes_ ascending; equal ones in order."""
@@ -109,36 +124,51 @@ class TupleQueue:
             self._spill()
 
     def _spill(self) -> None:
-        self.file = self.file or tempfile.TemporaryFile()
-        for v, parts in enumerate(self.buckets):
-            if parts:
-                data = np.concatenate(parts).tobytes()
-                self.runs[v].append((self.file.seek(0, 2), len(data)))
-                self.file.write(data)
+        path = f"{self.folder}/{uuid.uuid4().hex}.tuples"
+        fs, local = C.filesystem(path)
+        fs.create_dir(local.rpartition("/")[0], recursive=True)
+        at = 0
+        with fs.open_output_stream(local, compression=None) as out:
+            for v, parts in enumerate(self.buckets):
+                if parts:
+                    size = sum(out.write(np.ascontiguousarray(p).tobytes()) for p in parts)
+                    self.runs[v].append((len(self.files), at, size))
+                    at += size
+        self.files.append(path)
         self.buckets, self.held = [[] for _ in range(256)], 0
 
     def take(self) -> Iterator[np.ndarray]:
-        """All tuples, in blocks; the queue is empty then."""
+        """All tuples, in blocks; the queue is empty then, its files are gone."""
+        fs, opened = None, []
+        for path in self.files:
+            fs, local = C.filesystem(path)
+            opened.append((local, fs.open_input_file(local)))
         wait: list[np.ndarray] = []
         n = 0
-        for v in range(256):
-            for part in self._bucket(v):
-                wait.append(part)
-                n += len(part)
-                if n >= TAKE:
-                    yield np.concatenate(wait)
-                    wait, n = [], 0
-        if wait:
-            yield np.concatenate(wait)
-        if self.file:
-            self.file.close()
-
-    def _bucket(self, v: int) -> Iterator[np.ndarray]:
-        for at, size in self.runs[v]:
-            for off in range(0, size, TAKE * _PACK.itemsize):
-                self.file.seek(at + off)
-                yield np.frombuffer(self.file.read(min(TAKE * _PACK.itemsize, size - off)), _PACK)
+        try:
+            for v in range(256):
+                for part in self._bucket(v, opened):
+                    wait.append(part)
+                    n += len(part)
+                    if n >= TAKE:
+                        yield np.concatenate(wait)
+                        wait, n = [], 0
+            if wait:
+                yield np.concatenate(wait)
+        finally:
+            for local, f in opened:
+                f.close()
+                fs.delete_file(local)
+            self.files = []
+
+    def _bucket(self, v: int, opened: list) -> Iterator[np.ndarray]:
+        step = TAKE * self.kind.itemsize
+        for k, at, size in self.runs[v]:
+            for off in range(0, size, step):
+                opened[k][1].seek(at + off)
+                yield np.frombuffer(opened[k][1].read(min(step, size - off)), self.kind)
         yield from self.buckets[v]
+        self.buckets[v] = []
 
 
 class _Induce:
@@ -181,203 +211,265 @@ class _Induce:
         return keep[order], low
 
 
-def _room(rows: int, columns: int) -> np.ndarray:
-    """A byte matrix, in a file of the task where it is large."""
-    if rows <= 8 * BLOCK:
-        return np.zeros((rows, columns), np.uint8)
-    return np.memmap(tempfile.TemporaryFile(), np.uint8, "w+", shape=(rows, columns))
-
-
-def repeated_windows(core: np.ndarray, segments: list[bytes], shift: np.ndarray, count: np.ndarray, many: np.ndarray, length: int = LENGTH, memory: int = QUEUE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, first, end) of the runs of repeated windows, numbered within their segment.
-
-    A segment holds the windows of one anchor: ``count`` windows of ``length`` bytes, the anchor ``shift`` bytes after
-    its start. ``many`` marks contents that occur more than once. Segments with equal cores belong together.
+def _matrix(values: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, lengths) of binary values of up to ``width`` bytes, one a row, with zeros behind them."""
+    values = values.cast(pa.large_binary())
+    ends = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+    n = np.diff(ends)
+    out = np.zeros((len(values), width), np.uint8)
+    if ends[-1] > ends[0]:
+        out[np.arange(width) < n[:, None]] = np.frombuffer(values.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    return out, n
+
+
+class Induction:
+    """Repeated windows of sampled suffixes that come in order, block by block."""
+
+    def __init__(self, length: int, memory: int, folder: str):
+        self.length, self.memory, self.folder = length, memory, folder
+        self.width = length - CORE
+        self.queue = TupleQueue(_tuples(self.width), memory, folder)
+        self.rows, self.last = 0, None
+
+    def add(self, h: np.ndarray, s: np.ndarray, right: np.ndarray, given: np.ndarray, left: np.ndarray, shift: np.ndarray, count: np.ndarray, many: np.ndarray) -> None:
+        """Suffixes in the order of core and bytes; right: the bytes from the anchor on, left: those before it, backwards."""
+        n, length = len(h), self.length
+        first = self.last or (h[0] - 1, right[0], given[0])
+        before_h, before_n = np.concatenate([[first[0]], h[:-1]]), np.concatenate([[first[2]], given[:-1]])
+        differ = np.empty((n, length), bool)
+        differ[1:], differ[0] = right[1:] != right[:-1], right[0] != first[1]
+        same = np.minimum(np.where(differ.any(1), differ.argmax(1), length), np.minimum(given, before_n))
+        out = np.empty(n, self.queue.kind)
+        for name, v in (("h", h), ("s", s), ("lcp", np.where(h == before_h, same, 0)), ("shift", shift), ("low", shift - count + 1), ("many", many), ("open", _CLOSED), ("left", left)):
+            out[name] = v
+        self.queue.push(np.zeros(n, np.uint8), out)
+        self.last = h[-1], right[-1].copy(), given[-1]
+        self.rows += n
+
+    def run(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(h, s, first, end): runs of repeated windows, numbered within their content."""
+        queue, back = self.queue, 0
+        while True:
+            width = queue.kind["left"].shape[0]
+            kind = _tuples(max(0, width - 1))
+            following, induce, moved = TupleQueue(kind, self.memory, self.folder), _Induce(), False
+            for block, after in _ahead(queue.take()):
+                own = block["lcp"].astype(np.int64)
+                near = np.append(own[1:], after) >= self.length
+                hit = ((own >= self.length) | near | (block["many"] > 0)) & (block["low"] <= back)
+                opened, ends = block["open"], block["shift"] == back
+                was = opened != _CLOSED
+                stop = was & ~hit  # the run ended a step before
+                if stop.any():
+                    x = block[stop]
+                    yield x["h"], x["s"], x["shift"].astype(np.int32) - back + 1, x["shift"].astype(np.int32) - x["open"] + 1
+                begun = np.where(hit, np.where(was, opened, back), _CLOSED).astype(np.uint8)
+                stop = ends & hit
+                if stop.any():
+                    x = block[stop]
+                    yield x["h"], x["s"], np.zeros(len(x), np.int32), x["shift"].astype(np.int32) - begun[stop] + 1
+                if not width:
+                    continue
+                order, low = induce.some(block["left"][:, 0].astype(np.int64), own, ~ends)
+                if len(order):
+                    out = np.empty(len(order), kind)
+                    for name in ("h", "s", "shift", "low", "many"):
+                        out[name] = block[name][order]
+                    out["lcp"], out["open"], out["left"] = np.minimum(low + 1, 255), begun[order], block["left"][order, 1:]
+                    following.push(block["left"][order, 0], out)
+                    moved = True
+            if not moved:
+                return
+            queue, back = following, back + 1
+
+
+def _ahead(blocks: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, int]]:
+    """Blocks with the common prefix that the tuple after their last one has with it."""
+    held = None
+    for block in blocks:
+        if held is not None:
+            yield held, int(block["lcp"][0])
+        held = block
+    if held is not None:
+        yield held, 0
+
+
+def _shard(batches: Iterator[pa.RecordBatch], length: int, memory: int, folder: str) -> Iterator[pa.RecordBatch]:
+    """Rows (h, right, s, shift, count, left) sorted by h, right and s in; runs of repeated windows (h, s, a, b) out.
+
+    At most a batch of rows, BLOCK tuples and the queue's bound are held, whatever the size of a core.
     """
-    m, reach = len(segments), int(shift.max(initial=0))
-    right, left = _room(m, length), _room(m, reach + 1)
-    given = np.zeros(m, np.int64)  # bytes from the anchor on; what is missing must not look like zeros
-    for k, (s, o) in enumerate(zip(segments, shift.tolist(), strict=True)):
-        body = s[o : o + length]
-        right[k, : len(body)] = np.frombuffer(body, np.uint8)
-        given[k] = len(body)
-        if o:
-            left[k, 1 : o + 1] = np.frombuffer(s[:o][::-1], np.uint8)  # column j: the byte j before the anchor
-    rank = np.argsort(given, kind="stable")
-    rank = rank[np.argsort(right.view(f"S{length}").ravel()[rank], kind="stable")]
-    rank = rank[np.argsort(core[rank], kind="stable")]
-    lcp = np.zeros(m, np.int64)
-    for a in range(1, m, TAKE):
-        x, y = rank[a - 1 : a - 1 + TAKE], rank[a : a + TAKE]
-        x = x[: len(y)]
-        differ = right[x] != right[y]
-        same = np.minimum(np.where(differ.any(1), differ.argmax(1), length), np.minimum(given[x], given[y]))
-        lcp[a : a + TAKE] = np.where(core[x] == core[y], same, 0)
-    found = _room(m, reach + 1)  # column j: the window that starts j before the anchor repeats
-    queue = TupleQueue(memory)
-    start = np.zeros(m, _PACK)
-    start["row"], start["lcp"] = rank, np.minimum(lcp, 255)
-    for a in range(0, m, TAKE):
-        queue.push(np.zeros(len(start[a : a + TAKE]), np.uint8), start[a : a + TAKE])
-    lowest = shift - count + 1  # a segment's windows start from shift down to this many bytes before the anchor
-    for back in range(reach + 1):
-        following, induce = TupleQueue(memory), _Induce()
-        before: tuple[int, int] | None = None
-        for block in queue.take():
-            row, own = block["row"], block["lcp"].astype(np.int64)
-            hit = np.flatnonzero(own >= length)
-            found[row[hit], back] = 1
-            found[row[hit[hit > 0] - 1], back] = 1
-            if len(hit) and hit[0] == 0 and before is not None:
-                found[before, back] = 1
-            before = int(row[-1])
-            byte = left[row, min(back + 1, reach)].astype(np.int64)
-            order, low = induce.some(byte, own, shift[row] > back)
-            if len(order):
-                out = np.empty(len(order), _PACK)
-                out["row"], out["lcp"] = row[order], np.minimum(low + 1, 255)
-                following.push(byte[order].astype(np.uint8), out)
-        queue = following
-    rows, cols = np.nonzero(found)
-    ok = (cols <= shift[rows]) & (cols >= lowest[rows])
-    rows, at = rows[ok], shift[rows[ok]] - cols[ok]
-    twice = np.flatnonzero(many)
-    reps = count[twice]
-    rows = np.concatenate([rows, np.repeat(twice, reps)])
-    at = np.concatenate([at, np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)])
-    key = np.unique(rows * (length + 1) + at)
-    rows, at = key // (length + 1), key % (length + 1)
-    first = np.concatenate([[True], (rows[1:] != rows[:-1]) | (at[1:] != at[:-1] + 1)]) if len(rows) else np.zeros(0, bool)
-    last = np.concatenate([first[1:], [True]]) if len(rows) else first
-    return rows[first], at[first], at[last] + 1
-
-
-def _shard(batches: Iterator[pa.RecordBatch], length: int, memory: int) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (h, s, again, shift, count, seg) in, runs of repeated windows (h, s, first, last) out."""
-    cols: dict[str, list] = {"h": [], "s": [], "shift": [], "count": [], "seg": [], "many": []}
-
-    def flush(end: int) -> Iterator[pa.RecordBatch]:
-        if end:
-            part = {k: np.array(v[:end]) for k, v in cols.items() if k != "seg"}
-            row, a, b = repeated_windows(part["h"], cols["seg"][:end], part["shift"], part["count"], part["many"], length, memory)
-            yield pa.RecordBatch.from_arrays([pa.array(part["h"][row]), pa.array(part["s"][row]), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["h", "s", "a", "b"])
-            for v in cols.values():
-                del v[:end]
+    work, held = Induction(length, memory, folder), None
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for cols in work.run():
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=["h", "s", "a", "b"])
+
+    def feed(table: pa.Table, upto: int, many: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The contents that begin at start[:upto]; a core ends where h changes."""
+        nonlocal work
+        rows = table.take(pa.array(start[:upto])).combine_chunks()
+        for a in range(0, upto, BLOCK):
+            part = rows.slice(a, BLOCK).combine_chunks()
+            column = lambda c, part=part: part.column(c).chunk(0)
+            h, s, shift, count = (column(c).to_numpy() for c in ("h", "s", "shift", "count"))
+            right, given = _matrix(column("right"), length)
+            left = _matrix(column("left"), length - CORE)[0]
+            cut = 0
+            if work.rows and work.last[0] != h[0] and work.rows + len(h) > BLOCK:
+                yield from flush()
+                work = Induction(length, memory, folder)
+            new = np.flatnonzero(h[1:] != h[:-1]) + 1
+            if work.rows + len(h) > BLOCK and len(new):  # whole cores up to the bound, the rest starts anew
+                cut = int(new[-1])
+                work.add(h[:cut], s[:cut], right[:cut], given[:cut], left[:cut], shift[:cut], count[:cut], many[a : a + cut])
+                yield from flush()
+                work = Induction(length, memory, folder)
+            work.add(h[cut:], s[cut:], right[cut:], given[cut:], left[cut:], shift[cut:], count[cut:], many[a + cut : a + len(h)])
 
     for batch in batches:
-        h, s, seg = (batch.column(c).to_pylist() for c in ("h", "s", "seg"))
-        shift, count = (batch.column(c).to_pylist() for c in ("shift", "count"))
-        for k in range(len(h)):
-            if cols["h"] and cols["h"][-1] == h[k] and cols["s"][-1] == s[k]:
-                cols["many"][-1] = True
-                continue
-            if len(cols["h"]) >= BLOCK and cols["h"][-1] != h[k]:
-                yield from flush(len(cols["h"]))
-            for name, v in zip(("h", "s", "shift", "count", "seg", "many"), (h[k], s[k], shift[k], count[k], seg[k], False), strict=True):
-                cols[name].append(v)
-    yield from flush(len(cols["h"]))
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH, memory: int = QUEUE_BYTES) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (binary; null where nothing could go), kept_sha256 for every row.
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        again = np.zeros(batch.num_rows, bool)
+        if held is not None:
+            table = pa.concat_tables([held[0], table])
+            again = np.append([held[1]], again)
+        h, s = table.column("h").to_numpy(), table.column("s").to_numpy()
+        start = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (s[1:] != s[:-1])]))
+        size = np.diff(np.append(start, len(h)))
+        many = (size > 1) | again[start]
+        if len(start) > 1:
+            yield from feed(table, len(start) - 1, many, start)
+        held = pa.Table.from_batches(table.slice(int(start[-1]), 1).to_batches()), bool(many[-1])
+    if held is not None:
+        yield from feed(held[0], 1, np.array([held[1]]), np.array([0]))
+    if work.rows:
+        yield from flush()
+
+
+def _parts(shift: int, count: int, length: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first window, number of windows, bytes before the anchor, bytes from it on) of the pieces of a hot core's row:
+    all windows of a piece hold those bytes."""
+    for lo in range(0, length - CORE + 1, SPLIT):
+        hi = min(lo + SPLIT, length - CORE + 1)
+        a, b = max(0, shift - hi + 1), min(count - 1, shift - lo)
+        if a <= b:
+            yield a, b - a + 1, lo, length - hi + 1
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, memory: int = QUEUE_BYTES, hot: int = HOT) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept (binary; null where nothing goes), kept_sha256 for every row.
 
     Each byte covered by a string of ``length`` bytes that also starts elsewhere, in the same text or another, goes;
     strings are judged on the input and never cross texts. Null text is empty. Rows that repeat are texts of their own,
     and so lose what they share. A null doc_id stays null. Other columns are ignored.
     """
-    if length < 2 * CORE or length > 255:
-        raise ValueError(f"length must be from {2 * CORE} to 255")
+    if length < 2 * CORE or length >= _CLOSED:
+        raise ValueError(f"length must be from {2 * CORE} to {_CLOSED - 1}")
     spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    C.bounded_batches(spark)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("k"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.select("k", F.xxhash64("text").alias("t"), "text")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [anchors(t, length) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            n = [len(x[0]) for x in found]
-            h, i0, count, shift = (np.concatenate(x) if len(x) else np.zeros(0, np.int64) for x in zip(*found, strict=True))
-            k, t = (np.repeat(batch.column(c).to_numpy(), n) for c in ("k", "t"))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k), pa.array(t), pa.array(i0.astype(np.int32)), pa.array(count.astype(np.int16)), pa.array(shift.astype(np.int16))], names=["h", "k", "t", "i", "count", "shift"])
-
-    sampled = C.materialize(rows.mapInArrow(sample, "h long, k long, t long, i int, count smallint, shift smallint"), "sampled-suffixes")
-    shared = C.materialize(sampled.groupBy("h").count().filter("count > 1").select("h"), "shared-cores")
-    C.drop_shuffles(spark)
-    lists = sampled.join(shared, "h").groupBy("k", "t").agg(F.collect_set(F.struct("i", "h", "count", "shift")).alias("own"))
+        """One row an anchor; p holds position, windows and distance of the anchor."""
+        for whole in batches:
+            for batch in C.pieces(whole):
+                found = [anchors(t, length) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+                n = [len(x[0]) for x in found]
+                h, i0, count, shift = (np.concatenate(x) for x in zip(*found, strict=True))
+                k, t = (np.repeat(batch.column(c).to_numpy(), n) for c in ("k", "t"))
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k), pa.array(t), pa.array(i0 << 16 | (count - 1) << 8 | shift)], names=["h", "k", "t", "p"])
+
+    sampled = C.materialize(rows.mapInArrow(sample, "h long, k long, t long, p long"), "sampled-suffixes")
+    counted = sampled.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = C.materialize(counted.select("h", (F.col("n") > hot).cast("long").alias("hot")), "shared-cores")
+    lists = sampled.join(shared, "h").groupBy("k", "t").agg(F.collect_set(F.struct("h", (F.col("p") * 2 + F.col("hot")).alias("p"))).alias("own"))
     lists = C.materialize(lists, "suffixes-by-text")
     C.release(sampled, shared)
-    C.drop_shuffles(spark)
-    met = rows.join(lists, ["k", "t"], "left")
-    has = F.col("own").isNotNull()
-    met = C.materialize(met.select("k", "t", F.octet_length("text").cast("long").alias("n_bytes"), F.when(has, F.col("text")).alias("text"), F.when(~has, F.col("text").cast("binary")).alias("whole"), "own").select("k", "t", "n_bytes", "text", F.sha2("whole", 256).alias("sha"), "own"), "texts-with-suffixes")
-    C.release(lists)
-    C.drop_shuffles(spark)
-    some = met.filter("own is not null")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The segment of every sampled suffix; again counts a content's rows in this task, up to 2, and only the first
-        has the bytes."""
+        """The bytes of every sampled suffix; again counts a content's rows in this task, up to 2, and only the first two
+        have the bytes."""
         import xxhash
 
         seen: dict[tuple[int, int], int] = {}
-        for batch in batches:
-            out: list[tuple] = []
-            for k, t, text, own in zip(*(batch.column(c).to_pylist() for c in ("k", "t")), batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("own").to_pylist(), strict=True):
-                for x in own:
-                    i, n, h = x["i"], x["count"], x["h"]
-                    seg = text[i : i + n - 1 + length]
-                    s = xxhash.xxh3_64_intdigest(seg)
-                    s -= (s >> 63) << 64
-                    again = seen.get((h, s), 0)
-                    if not again and len(seen) >= 400_000:
-                        seen.clear()
-                    seen[h, s] = min(again + 1, 2)
-                    out.append((h, s, k, t, i, n, x["shift"], again, None if again else seg))
-            kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], kind) for kind in kinds], names=["h", "s", "k", "t", "i", "count", "shift", "again", "seg"])
-
-    C.bounded_batches(spark, 256)
-    segments = C.materialize(some.mapInArrow(cut, "h long, s long, k long, t long, i int, count int, shift int, again int, seg binary"), "segments")
-    C.bounded_batches(spark, 8_192)
+        signed = lambda x: x - ((x >> 63) << 64)
+        digest = xxhash.xxh3_64_intdigest
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()] * 2
+        names = ["h", "s", "k", "t", "i", "count", "shift", "again", "right", "left"]
+
+        def packed(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+        for whole in batches:
+            for batch in C.pieces(whole):
+                out: list[tuple] = []
+                texts = batch.column("text").cast(pa.large_binary())
+                own = batch.column("own")
+                for j in range(batch.num_rows):
+                    text, k, t = texts[j].as_py(), batch.column("k")[j].as_py(), batch.column("t")[j].as_py()
+                    cores, places = (own[j].values.field(c).to_pylist() for c in ("h", "p"))
+                    for h, p in zip(cores, places, strict=True):
+                        i, n, shift = p >> 17, (p >> 9 & 255) + 1, p >> 1 & 255
+                        at = i + shift
+                        pieces = [(h, i, n, shift)]
+                        if p & 1:
+                            pieces = [(signed(digest(text[at - lo : at + right], lo)), i + a, m, shift - a) for a, m, lo, right in _parts(shift, n, length)]
+                        for key, i, n, shift in pieces:  # noqa: B020, PLW2901
+                            seg = text[i : i + n - 1 + length]
+                            s = signed(digest(seg))
+                            again = seen.get((key, s), 0)
+                            if not again and len(seen) >= 200_000:
+                                seen.clear()
+                            seen[key, s] = min(again + 1, 2)
+                            out.append((key, s, k, t, i, n, shift, again, seg[shift : shift + length] if again < 2 else None, seg[:shift][::-1] if again < 2 else None))
+                    if len(out) >= BLOCK:
+                        yield packed(out)
+                        out = []
+                if out:
+                    yield packed(out)
+
+    segments = C.materialize(rows.join(lists, ["k", "t"]).mapInArrow(cut, "h long, s long, k long, t long, i int, count int, shift int, again int, right binary, left binary"), "segments")
+    C.release(lists)
+    folder = C.scratch(spark, "tuples")
     # two rows of a task say that a content repeats; more would only crowd the shard of a common one
-    dealt = segments.filter("again < 2").select("h", "s", "again", "shift", "count", "seg").repartition(n_parts, "h").sortWithinPartitions("h", "s", "again")
-    verdicts = C.materialize(dealt.mapInArrow(lambda b: _shard(b, length, memory), "h long, s long, a int, b int"), "repeated-windows")
-    del dealt
-    C.drop_shuffles(spark)
+    dealt = segments.filter("again < 2").select("h", "right", "s", "shift", "count", "left").repartition(n_parts, "h").sortWithinPartitions("h", "right", "s")
+    verdicts = C.materialize(dealt.mapInArrow(lambda b: _shard(b, length, memory, folder), "h long, s long, a int, b int"), "repeated-windows")
+    C.delete(spark, folder)
     spans = segments.select("h", "s", "k", "t", "i").join(verdicts, ["h", "s"])
     spans = spans.groupBy("k", "t").agg(F.collect_set(F.struct((F.col("i") + F.col("a")).alias("a"), (F.col("i") + F.col("b") - 1 + length).alias("b"))).alias("spans"))
     spans = C.materialize(spans, "repeated-spans")
     C.release(segments, verdicts)
-    C.drop_shuffles(spark)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for k, text, found in zip(batch.column("k").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                kept, at, removed, n = [], 0, 0, 0
-                end = -1
-                for a, b in sorted((x["a"], x["b"]) for x in found or ()):
-                    if a > end:
-                        n += 1
-                        kept.append(text[at:a])
-                    removed += max(0, b - max(a, end))
-                    end = max(end, b)
-                    at = end
-                kept.append(text[at:])
-                out.append((k, len(text), removed, n, b"".join(kept)))
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], kind) for kind in kinds], names=["k", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    C.bounded_batches(spark)
-    stripped = some.select("k", "t", "text").join(spans, ["k", "t"], "left").select("k", "text", "spans").mapInArrow(strip, "k long, n_bytes long, n_removed long, n_spans long, kept binary")
-    stripped = stripped.select("k", "n_bytes", "n_removed", "n_spans", "kept", F.sha2("kept", 256).alias("sha"))
+        kinds = [pa.int64()] * 4 + [pa.binary()]
+        for whole in batches:
+            for batch in C.pieces(whole):
+                out = []
+                texts, found = batch.column("text").cast(pa.large_binary()), batch.column("spans")
+                for j, k in enumerate(batch.column("k").to_pylist()):
+                    text = texts[j].as_py()
+                    kept, at, removed, n, end = [], 0, 0, 0, -1
+                    for a, b in sorted(zip(*(found[j].values.field(c).to_pylist() for c in ("a", "b")), strict=True)):
+                        if a > end:
+                            n += 1
+                            kept.append(text[at:a])
+                        removed += max(0, b - max(a, end))
+                        end = max(end, b)
+                        at = end
+                    kept.append(text[at:])
+                    out.append((k, len(text), removed, n, b"".join(kept)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)], names=["k", "n_bytes", "n_removed", "n_spans", "kept"])
+
+    stripped = rows.join(spans, ["k", "t"]).select("k", "text", "spans").mapInArrow(strip, "k long, n_bytes long, n_removed long, n_spans long, kept binary")
+    stripped = stripped.withColumn("sha", F.sha2("kept", 256))
     zero = F.lit(0).cast("long")
-    whole = met.filter("own is null").select("k", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.lit(None).cast("binary").alias("kept"), "sha")
+    whole = rows.join(spans.select("k", "t"), ["k", "t"], "left_anti").select("k", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.lit(None).cast("binary").alias("kept"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     out = stripped.unionByName(whole)
     return out.select(F.when(F.col("k") != _NO_ID, F.col("k")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept", F.col("sha").alias("kept_sha256"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-

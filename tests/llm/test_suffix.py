@@ -2,7 +2,9 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from conftest import DATA
 from sparkloom.llm import suffix as S
 
@@ -50,27 +52,44 @@ def test_anchors_depend_on_content(monkeypatch):
     assert len(S.anchors(b"x" * 199)[0]) == 0
 
 
-def test_queue_orders_and_spills():
+def test_queue_orders_and_spills(tmp_path):
     rng = np.random.default_rng(1)
-    q, want = S.TupleQueue(64), {v: [] for v in range(256)}
+    q, want = S.TupleQueue(S._tuples(3), 640, str(tmp_path)), {v: [] for v in range(256)}
     n = 0
     for _ in range(40):
         b = np.sort(rng.integers(0, 256, 30)).astype(np.uint8)
-        t = np.zeros(30, S._PACK)
-        t["row"] = np.arange(n, n + 30)
+        t = np.zeros(30, S._tuples(3))
+        t["h"] = np.arange(n, n + 30)
         n += 30
         q.push(b, t)
-        for v, r in zip(b.tolist(), t["row"].tolist(), strict=True):
+        for v, r in zip(b.tolist(), t["h"].tolist(), strict=True):
             want[v].append(r)
-    assert q.file is not None
-    assert np.concatenate(list(q.take()))["row"].tolist() == [r for v in range(256) for r in want[v]]
+    assert len(list(tmp_path.iterdir())) > 1
+    assert np.concatenate(list(q.take()))["h"].tolist() == [r for v in range(256) for r in want[v]]
+    assert not list(tmp_path.iterdir())
+
+
+def batch(rows, length):
+    """Rows (core, text, anchor's distance, number of windows) as a shard gets them."""
+    rows = sorted((h, seg[o : o + length], xxhash.xxh3_64_intdigest(seg) >> 1, o, n, seg[:o][::-1]) for h, seg, o, n in rows)
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "right", "s", "shift", "count", "left"])
+
+
+def windows_found(batches, length, memory, folder):
+    out = []
+    for x in S._shard(iter(batches), length, memory, str(folder)):
+        out += [(h, s, w) for h, s, a, b in zip(*(x.column(c).to_pylist() for c in "hsab"), strict=True) for w in range(a, b)]
+    return out
 
 
 @pytest.mark.parametrize("seed", range(6))
 @pytest.mark.parametrize("take", [3, 4096])
-def test_induced_prefixes_against_sorting(seed, take, monkeypatch):
+def test_induced_prefixes_against_sorting(seed, take, monkeypatch, tmp_path):
     """Every round's order and common prefixes, by way of the windows found, against all pairs of windows."""
     monkeypatch.setattr(S, "TAKE", take)
+    monkeypatch.setattr(S, "BLOCK", 5 if take == 3 else 16_384)
+    monkeypatch.setattr(S, "CORE", 60)
     rng = random.Random(seed)
     length, segs, core, shift, count = 80, [], [], [], []
     for c in range(4):
@@ -83,20 +102,40 @@ def test_induced_prefixes_against_sorting(seed, take, monkeypatch):
             core.append(c)
             shift.append(o)
             count.append(n)
-    keep, seen = [], {}
-    for k, s in enumerate(segs):
-        if (core[k], s) in seen:
-            continue
-        seen[core[k], s] = len(keep)
-        keep.append(k)
-    segs, core, shift, count = ([x[k] for k in keep] for x in (segs, core, shift, count))
+    rows = list(zip(core, segs, shift, count, strict=True))
     windows = {}
-    for k, s in enumerate(segs):
-        for w in range(count[k]):
-            windows.setdefault((core[k], shift[k] - w, s[w : w + length]), []).append((k, w))
-    want = sorted(x for v in windows.values() if len(v) > 1 for x in v)
-    row, a, b = S.repeated_windows(np.array(core), segs, np.array(shift), np.array(count), np.zeros(len(segs), bool), length, memory=100)
-    assert sorted((int(r), w) for r, x, y in zip(row, a, b, strict=True) for w in range(x, y)) == want
+    for h, seg, o, n in rows:
+        for w in range(n):
+            windows.setdefault((h, o - w, seg[w : w + length]), []).append((h, xxhash.xxh3_64_intdigest(seg) >> 1, w))
+    want = sorted({x for v in windows.values() if len(v) > 1 for x in v})
+    whole = batch(rows, length)
+    for size in (1, 7, whole.num_rows):
+        found = windows_found([whole.slice(a, size) for a in range(0, whole.num_rows, size)], length, 100, tmp_path)
+        assert sorted(found) == want and not list(tmp_path.iterdir())
+
+
+def test_a_core_beyond_memory_goes_to_files(tmp_path, monkeypatch):
+    """60,000 contents of one core, with the bounds of production: tuples spill, memory stays."""
+    import resource
+
+    rng = np.random.default_rng(8)
+    core = prose(random.Random(8), 30).encode()[:100]
+    rows, want = [], set()
+    for k in range(30_000):
+        left, right = rng.integers(97, 123, 60, dtype=np.uint8).tobytes(), rng.integers(97, 123, 120, dtype=np.uint8).tobytes()
+        seg = left + core + right
+        rows.append((1, seg, 60, 61))
+        other = bytes([left[0] ^ 1]) + left[1:] + core + right  # differs in its first byte: shares all windows but the first
+        rows.append((1, other, 60, 61))
+        want |= {(xxhash.xxh3_64_intdigest(x) >> 1, w) for x in (seg, other) for w in range(1, 61)}
+    whole = batch(rows, 200)
+    spilled = []
+    monkeypatch.setattr(S.TupleQueue, "_spill", lambda self, f=S.TupleQueue._spill: (spilled.append(self.held), f(self)))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = windows_found([whole.slice(a, 5_000) for a in range(0, whole.num_rows, 5_000)], 200, S.QUEUE_BYTES, tmp_path)
+    assert {(s, w) for _, s, w in found} == want and len(found) == len(want)
+    assert len(spilled) > 10 and max(spilled) < S.QUEUE_BYTES + (8 << 20)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 900 << 10  # the windows found are held by the test
 
 
 def test_odd_rows(spark):
@@ -109,7 +148,7 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(*r, 1, "h") for r in rows], "doc_id long, text string, k int, h string").repartition(4)
     want = brute(rows)
     assert got(S.digest(df)) == want
-    assert got(S.remove_repeats(df, memory=64)) == want
+    assert got(S.remove_repeats(df, memory=64, hot=1)) == want
     assert S.digest(df.limit(0)).collect() == []
 
 
@@ -121,6 +160,7 @@ def test_many_variants_of_one_passage(spark, monkeypatch):
     rows = [(i, prose(rng, 20) + p[rng.randint(0, 9) :] + prose(rng, 20)) for i in range(120)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert got(S.digest(df)) == brute(rows)
+    assert got(S.remove_repeats(df, hot=5)) == brute(rows)  # the core split by the bytes around it
 
 
 def test_documents(spark):
