@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,8 @@ from ..session import ship
 
 #: Whitespace of the text contracts: space and the ASCII controls 0x09 to 0x0D.
 WS = "\t\n\x0b\x0c\r "
+#: Deletes the shuffle files of a query when it ends.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -19,12 +25,23 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Our own folders, by application, where a local session names none.
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a local session (one machine) gets a temporary folder; a cluster is told to name one, as its
+    executors would write to their own disks.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="sparkloom-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _OWN_ROOTS.setdefault(context.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="sparkloom-shared-")
+        _OWN_ROOTS[context.applicationId] = root
     return root.rstrip("/")
 
 
@@ -33,9 +50,19 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage in a way that survives lost executors."""
+    """Write to the shared folder and read back: cuts the lineage in a way that survives lost executors.
+
+    Shuffles of the write are deleted when it is done; the option for that holds for the write alone.
+    """
+    ship(df.sparkSession)
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, None)
+    conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEAN, before) if before is not None else conf.unset(_CLEAN)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._sparkloom_path = path
     return out
@@ -54,10 +81,36 @@ def delete(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Python workers hold one Arrow batch at a time; fewer rows a batch bound memory when texts are long."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def pieces(batch: pa.RecordBatch, column: str | int = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of up to ``limit`` bytes of one column; a longer value is a slice of its own."""
+    size = pc.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    a, held = 0, 0
+    for k, n in enumerate(size.tolist()):
+        if held and held + n > limit:
+            yield batch.slice(a, k - a)
+            a, held = k, 0
+        held += n
+    if a < batch.num_rows:
+        yield batch.slice(a)
+
+
+def stretches(text: bytes, limit: int = 1 << 20, at: bytes = b"\n ", hard: bool = False) -> Iterator[bytes]:
+    """A text in stretches of about ``limit`` bytes, each but the last ending behind one of the bytes of ``at``; a run
+    without any of them stays whole or, with ``hard``, is cut at twice the limit."""
+    import re
+
+    if len(text) <= limit:
+        yield text
+        return
+    mark, a = re.compile(b"[" + re.escape(at) + b"]"), 0
+    while len(text) - a > limit:
+        hit = mark.search(text, a + limit, a + 2 * limit) if hard else mark.search(text, a + limit)
+        if hit is None and (not hard or len(text) - a <= 2 * limit):
+            break
+        end = hit.end() if hit else a + 2 * limit
+        yield text[a:end]
+        a = end
+    yield text[a:]
 
 
 def filesystem(path: str):
@@ -90,18 +143,6 @@ def fits(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def drop_shuffles(spark: SparkSession) -> None:
-    """Let the driver notice that shuffles of finished jobs are not referred to any more, and give it time to have
-    their files deleted before the next ones are written."""
-    import gc
-    import time
-
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.7)
-
-
 def cleanup(spark: SparkSession) -> None:
     """Delete everything these operators left in the shared folder; results not yet read are lost with it."""
     delete(spark, f"{shared_root(spark)}/sparkloom")

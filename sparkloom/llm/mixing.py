@@ -16,8 +16,9 @@ from . import common as C
 #: Production weights: share of the mixed corpus, in characters. Sources not named share OTHER.
 WEIGHTS = {"src0": 0.10, "src1": 0.08, "src2": 0.08, "src3": 0.06, "src4": 0.06}
 OTHER = 0.62
-#: A mean repetition rate above this asks for more copies than any sensible mixture; it is an error, not cut off.
-MAX_RATE = 10_000.0
+#: The largest rate of one draw. A larger rate is the sum of several draws of equal rates, which has the same
+#: distribution, so tables stay short however small a source is for its weight.
+ONE_DRAW = 1_000.0
 
 
 def _bucket(weights: dict[str, float]) -> Column:
@@ -42,16 +43,29 @@ def _distribution(rate: Column) -> Column:
 
 
 def rates(docs: DataFrame, weights: dict[str, float], other: float, scale: float) -> DataFrame:
-    """(bucket, rate, cdf): at most len(weights) + 1 rows, whatever the input. Mass is counted in characters."""
+    """(bucket, draws, cdf): at most len(weights) + 1 rows, whatever the input. Mass is counted in characters."""
     mass = docs.select(_bucket(weights).alias("bucket"), F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n")).groupBy("bucket").agg(F.sum("n").alias("mass"))
     found = {r["bucket"]: r["mass"] for r in mass.collect()}  # at most len(weights) + 1 rows
     whole, total_weight = sum(found.values()), sum(weights.values()) + other
     rate = {k: weights.get(k, other) / total_weight * whole * scale / n if n else 0.0 for k, n in found.items()}
-    if max(rate.values(), default=0.0) > MAX_RATE:
-        raise ValueError("a mean repetition rate is over the limit: a source is too small for its weight")
-    rows = [F.struct(F.lit(k).alias("bucket"), F.lit(r).alias("rate")) for k, r in rate.items()] or [F.struct(F.lit("").alias("bucket"), F.lit(0.0).alias("rate"))]
-    table = docs.sparkSession.range(1).select(F.inline(F.array(*rows)))
-    return table.select("bucket", "rate", _distribution(F.col("rate")).alias("cdf"))
+    draws = {k: max(1, math.ceil(r / ONE_DRAW)) for k, r in rate.items()}
+    row = lambda k, r, n: F.struct(F.lit(k).alias("bucket"), F.lit(r / n).alias("rate"), F.lit(n).cast("long").alias("draws"))
+    table = docs.sparkSession.range(1).select(F.inline(F.array(*([row(k, r, draws[k]) for k, r in rate.items()] or [row("", 0.0, 1)]))))
+    return table.select("bucket", "draws", _distribution(F.col("rate")).alias("cdf"))
+
+
+def _passed(cdf: Column, u: Column) -> Column:
+    """How many values of an ascending array are not above u, by halving."""
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(cdf))))
+    whole = F.struct(F.lit(0).alias("lo"), F.size(cdf).alias("hi"))
+
+    def half(acc: Column, _: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        more = (acc["lo"] < acc["hi"]) & (F.coalesce(F.get(cdf, mid), F.lit(2.0)) <= u)
+        lo, hi = F.when(more, mid + 1).otherwise(acc["lo"]), F.when(more, acc["hi"]).otherwise(mid)
+        return F.struct(lo.alias("lo"), F.greatest(lo, hi).alias("hi"))
+
+    return F.aggregate(steps, whole, half, lambda acc: acc["lo"])
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, other: float = OTHER, scale: float = 1.0, seed: int = 17, marks: bool = True) -> DataFrame:
@@ -67,9 +81,11 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, other: float =
     if any(v < 0 or not math.isfinite(v) for v in [*weights.values(), other, scale]) or sum(weights.values()) + other <= 0:
         raise ValueError("weights must be finite, not negative, and not all zero")
     spark, keep = docs.sparkSession, docs.columns
-    table = rates(docs, weights, other, scale).select(F.col("bucket").alias("__bucket"), F.col("cdf").alias("__cdf"))
+    table = rates(docs, weights, other, scale).select(F.col("bucket").alias("__bucket"), F.col("draws").alias("__draws"), F.col("cdf").alias("__cdf"))
     u = C.draw(seed, F.col("doc_id"))
-    count = F.coalesce(F.size(F.filter("__cdf", lambda x: x <= F.col("__u"))), F.lit(0))
+    again = F.transform(F.sequence(F.lit(1).cast("long"), F.col("__draws") - 1), lambda j: _passed(F.col("__cdf"), C.draw(F.concat(F.lit(f"{seed}."), j.cast("string")), F.col("doc_id"))).cast("long"))
+    more = F.when(F.col("__draws") > 1, F.aggregate(again, F.lit(0).cast("long"), lambda a, x: a + x)).otherwise(0)
+    count = _passed(F.col("__cdf"), F.col("__u")) + more
     copies = (
         docs.withColumn("__bucket", _bucket(weights))
         .withColumn("__u", u)

@@ -29,26 +29,23 @@ N_CLASSES = 12
 NAMES = [*[f"share_{k}" for k in range(N_CLASSES)], "chars", "word_length", "words_a_line", "distinct_words", "distinct_lines", "repeated_marks", "capital_words", "mark_words"]
 #: Shares of the pooled covariance and of the scaled identity in a class covariance.
 POOLED, IDENTITY = 0.05, 0.001
+#: Bytes of text that are counted at a time.
+STRETCH = 256 << 10
 
 
-def statistics(texts: list[bytes]) -> np.ndarray:
-    """One row of NAMES for each text."""
+def _tally(texts: list[bytes]) -> np.ndarray:
+    """For each text the bytes of every class, then words, repeated marks, capital words and words that end in a mark."""
     n = np.fromiter(map(len, texts), np.int64, len(texts))
-    out = np.zeros((len(texts), len(NAMES)))
-    if not len(texts):
-        return out
     # a newline before every text: no text is empty for reduceat, and words do not join
     data = np.frombuffer(b"\n" + b"\n".join(texts), np.uint8)
     start = np.cumsum(n + 1) - (n + 1)
     cls = _CLASS[data]
     total = lambda hit: np.add.reduceat(hit, start, dtype=np.int64)
-    share = lambda hits, of: np.log((hits + 0.5) / (of + 1.0))
     counts = [total(cls == k) for k in range(N_CLASSES)]
     counts[_LINE] = counts[_LINE] - 1
     gap = (cls == _BLANK) | (cls == _LINE)
     first = np.zeros(len(data), bool)
     first[1:] = gap[:-1] & ~gap[1:]
-    words = total(first)
     same = np.zeros(len(data), bool)
     same[1:] = (data[1:] == data[:-1]) & ~gap[1:] & (cls[1:] >= 5) & (cls[1:] <= 10)
     last = np.zeros(len(data), bool)
@@ -56,19 +53,52 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     last[-1] = not gap[-1]
     second = np.zeros(len(data), bool)
     second[1:] = first[:-1] & (cls[1:] == _UPPER)
-    out[:, :N_CLASSES] = np.stack([share(c, n) for c in counts], 1)
-    lines = counts[_LINE] + 1
-    split = [t.split() for t in texts]
+    return np.stack([*counts, total(first), total(same), total(second), total(last & (cls == _MARK))], 1)
+
+
+def statistics(texts: list[bytes]) -> np.ndarray:
+    """One row of NAMES for each text. Counts add up over stretches of a text; a word of over 512 KB counts once for
+    every 512 KB or so."""
+    n = np.fromiter(map(len, texts), np.int64, len(texts))
+    out, tally = np.zeros((len(texts), len(NAMES))), np.zeros((len(texts), N_CLASSES + 4), np.int64)
+    owners: list[int] = []
+    held: list[bytes] = []
+    size = 0
+
+    def flush() -> None:
+        nonlocal owners, held, size
+        if held:
+            np.add.at(tally, owners, _tally(held))
+        owners, held, size = [], [], 0
+
+    different = np.zeros((len(texts), 3), np.int64)  # words, different words, different lines
+    for k, t in enumerate(texts):
+        some: set[bytes] = set()
+        for part in C.stretches(t, STRETCH, b" \n", hard=True):
+            owners.append(k)
+            held.append(part)
+            size += len(part)
+            split = part.split()
+            different[k, 0] += len(split)
+            some.update(split)
+            if size >= STRETCH:
+                flush()
+        different[k, 1:] = len(some), len(set(t.split(b"\n")))
+    flush()
+    share = lambda hits, of: np.log((hits + 0.5) / (of + 1.0))
+    words, same, capitals, marks = tally[:, N_CLASSES:].T
+    out[:, :N_CLASSES] = share(tally[:, :N_CLASSES], n[:, None])
+    lines = tally[:, _LINE] + 1
     out[:, N_CLASSES:] = np.stack(
         [
             np.log1p(n),
             np.log((n + 1.0) / (words + 1.0)),
             np.log((words + 1.0) / lines),
-            share(np.fromiter((len(set(w)) for w in split), np.int64, len(texts)), np.fromiter(map(len, split), np.int64, len(texts))),
-            share(np.fromiter((len(set(t.split(b"\n"))) for t in texts), np.int64, len(texts)), lines),
-            share(total(same), n),
-            share(total(second), words),
-            share(total(last & (cls == _MARK)), words),
+            share(different[:, 1], different[:, 0]),
+            share(different[:, 2], lines),
+            share(same, n),
+            share(capitals, words),
+            share(marks, words),
         ],
         1,
     )
@@ -77,13 +107,13 @@ def statistics(texts: list[bytes]) -> np.ndarray:
 
 def featurize(docs: DataFrame, name: str = "quality-features") -> DataFrame:
     """(doc_id, x) for every row, materialised; null text is empty. x is narrow whatever the length of a text."""
-    C.bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = statistics(batch.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist())
-            flat = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), flat], names=["doc_id", "x"])
+        for whole in batches:
+            for batch in C.pieces(whole):
+                x = statistics(batch.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist())
+                flat = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), flat], names=["doc_id", "x"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return C.materialize(rows.mapInArrow(run, "doc_id long, x array<double>"), name)

@@ -28,6 +28,8 @@ INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("n",
 NULL_ID, WIDE = 1, 2
 SHARD_BYTES = 256 << 20
 READ_BYTES = 4 << 20
+#: Bytes of text that are encoded at a time.
+LONG = 2 << 20
 CACHED_WORDS = 300_000
 MANIFEST = "part int, roll int, data string, index string, n_docs long, n_tokens long, n_bytes long"
 
@@ -87,8 +89,15 @@ class Encoder:
         self.rows[word] = k
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text, the end id included; null is empty."""
+        """The ids of each text, the end id included; null is empty. Long texts are encoded stretch by stretch where the
+        vocabulary allows, so that memory follows the ids and not what leads to them."""
         texts = texts.fill_null("")
+        if self.cuts and len(texts) == 1 and (text := texts.cast(pa.large_binary())[0].as_py()) and len(text) > LONG:
+            parts = [self._encode(pa.array([part.decode()]))[0][:-1] for part in C.stretches(text, LONG)]
+            return [np.concatenate([*parts, np.array([self.end_id], self.dtype)])]
+        return self._encode(texts)
+
+    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         if not self.cuts:
             found = self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
             return [np.array([*e.ids, self.end_id], self.dtype) for e in found]
@@ -193,7 +202,6 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     get a record, in the order of a hash of their texts. An empty table gives no shard. Other columns are ignored.
     """
     spark = docs.sparkSession
-    C.bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -204,14 +212,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
 
         part, roll, shard, done = TaskContext.get().partitionId(), 0, None, []
         enc = encoder(tokenizer, end_id)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            shard = shard or _Shard(folder, part, roll)
-            shard.add(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text")))
-            if shard.bytes >= shard_bytes:
-                done.append(shard.close())
-                shard, roll = None, roll + 1
+        for whole in batches:
+            for batch in C.pieces(whole):
+                shard = shard or _Shard(folder, part, roll)
+                shard.add(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text")))
+                if shard.bytes >= shard_bytes:
+                    done.append(shard.close())
+                    shard, roll = None, roll + 1
         if shard:
             done.append(shard.close())
         for row in done:

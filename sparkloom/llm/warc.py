@@ -27,11 +27,11 @@ ARCHIVE_BYTES = 512 << 20
 #: Up to so many repeated digests (about 50 bytes each) are broadcast.
 BROADCAST_DIGESTS = 250_000
 MANIFEST = "path string, n_records long, n_bytes long"
-FEED = 64 << 10
+FEED, READ_BYTES = 64 << 10, 8 << 20
 
 
 def decide(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
-    """page_id, url, html, digest (hex SHA-256), n_bytes, refers_to (null for responses).
+    """page_id, url, html, digest (hex SHA-256), refers_to and first_url (of the response; null for responses).
 
     Of equal payloads of at least min_bytes, the smallest page_id is the response and the others refer to it. Null
     html is an empty payload. Rows that repeat that smallest page_id are all responses; a null page_id refers to any
@@ -39,17 +39,20 @@ def decide(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     """
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
     p = p.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("n_bytes", F.octet_length("html").cast("long"))
-    held = p.filter(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = C.materialize(held.filter("n > 1 and first is not null").select("digest", "first"), "repeated-payloads")
+    held = p.filter(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.coalesce("url", F.lit("")).alias("url"))).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = C.materialize(held.filter("n > 1 and not first.none").select("digest", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url")), "repeated-payloads")
     joined = p.join(F.broadcast(repeated) if C.fits(repeated, BROADCAST_DIGESTS) else repeated, "digest", "left")
-    return joined.select("page_id", "url", "html", "digest", "n_bytes", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    other = ~F.col("page_id").eqNullSafe(F.col("first"))
+    return joined.select("page_id", "url", "html", "digest", F.when(other, F.col("first")).alias("refers_to"), F.when(other, F.col("first_url")).alias("first_url"))
 
 
-def record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}')}>"
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """The same for rows that agree in all three; rows without a page_id, which nothing refers to, get a new one each."""
+    name = uuid.uuid4() if page_id is None else uuid.uuid5(uuid.NAMESPACE_OID, f"{page_id}:{digest}:{url or ''}")
+    return f"<urn:uuid:{name}>"
 
 
-def record(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None, date: str) -> bytes:
+def record(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None, first_url: str | None = None, date: str = "") -> bytes:
     body = html.encode("utf-8", "surrogatepass")
     uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else f"urn:page:{page_id}"
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(body)
@@ -59,7 +62,7 @@ def record(page_id: int | None, url: str | None, html: str, digest: str, refers_
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Target-URI: {uri}",
         f"WARC-Date: {date}",
-        f"WARC-Record-ID: {record_id(page_id)}",
+        f"WARC-Record-ID: {record_id(page_id, url, digest)}",
         f"WARC-Payload-Digest: sha256:{digest}",
         f"X-Payload-Length: {len(body)}",
         "Content-Type: application/http; msgtype=response",
@@ -68,7 +71,7 @@ def record(page_id: int | None, url: str | None, html: str, digest: str, refers_
     if page_id is not None:
         head.append(f"X-Page-Id: {page_id}")
     if refers_to is not None:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page: {refers_to}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to, first_url, digest)}", f"X-Refers-To-Page: {refers_to}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -147,17 +150,17 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 100, level: int =
     Attempts write files of their own names, and the manifest names those of committed tasks only. An empty table
     gives no archive. Other columns are ignored.
     """
-    C.bounded_batches(pages.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive, done = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                archive = archive or Archive(folder, level)
-                archive.add(record(row["page_id"], row["url"], row["html"], row["digest"], row["refers_to"], date))
-                if archive.bytes >= ARCHIVE_BYTES:
-                    done.append(archive.close())
-                    archive = None
+        for whole in batches:
+            for batch in C.pieces(whole, "html"):
+                for row in batch.to_pylist():
+                    archive = archive or Archive(folder, level)
+                    archive.add(record(**row, date=date))
+                    if archive.bytes >= ARCHIVE_BYTES:
+                        done.append(archive.close())
+                        archive = None
         if archive:
             done.append(archive.close())
         if done:
@@ -197,7 +200,6 @@ def records(path: str) -> Iterator[bytes]:
 
 def read_warc(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to (and payload) of every record."""
-    C.bounded_batches(manifest.sparkSession)
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"] + ["payload"] * with_payload
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()] + [pa.binary()] * with_payload
     paths = manifest.select("path").repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
@@ -206,15 +208,17 @@ def read_warc(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 rows: list[tuple] = []
+                held = 0
                 for raw in records(path):
                     x = parse(raw)
                     f = x["fields"]
                     number = lambda k, f=f: int(f[k]) if k in f else None
                     n = number("x-payload-length") if x["payload"] is None else len(x["payload"])
                     rows.append((number("x-page-id"), f["warc-target-uri"], n, f["warc-payload-digest"].removeprefix("sha256:"), x["type"], number("x-refers-to-page"), x["payload"])[: len(names)])
-                    if len(rows) == 500:
+                    held += n or 0
+                    if len(rows) == 500 or held >= READ_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
