@@ -12,6 +12,25 @@ def positions(n: Column | int) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.array().cast("array<int>"))
 
 
+def passed(ascending: Column, below: Column) -> Column:
+    """How many items of an ascending array are not above a value, by halving."""
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(ascending))))
+    whole = F.struct(F.lit(0).alias("lo"), F.size(ascending).alias("hi"))
+
+    def half(acc: Column, _: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        more = (acc["lo"] < acc["hi"]) & F.coalesce(F.get(ascending, mid) <= below, F.lit(False))
+        lo = F.when(more, mid + 1).otherwise(acc["lo"])
+        return F.struct(lo.alias("lo"), F.greatest(lo, F.when(more, acc["hi"]).otherwise(mid)).alias("hi"))
+
+    return F.aggregate(steps, whole, half, lambda acc: acc["lo"])
+
+
+def min_max(x: Column, low: float, high: float) -> Column:
+    """Clamped to [low, high] and brought to [0, 1]."""
+    return (clamp(x, low, high) - low) / F.lit(float(high - low))
+
+
 def zeros(n: Column) -> Column:
     return F.array_repeat(F.lit(0.0), F.greatest(n, F.lit(0)).cast("int"))
 
@@ -170,8 +189,10 @@ def align_up(x: Column, step: int) -> Column:
 
 def gain(x: Column, change_db: Column, highest: float = 0.95) -> Column:
     """Scaled by decibels, then brought under ``highest`` if it clips."""
-    up = F.transform(x, lambda v: v * F.pow(F.lit(10.0), change_db / 20))
-    return F.transform(up, lambda v: v * F.when(peak(up) > highest, F.lit(highest) / peak(up)).otherwise(1.0))
+    scale = F.pow(F.lit(10.0), change_db / 20)
+    up = peak(x) * scale
+    factor = F.when(up > highest, F.lit(highest) / peak(x)).otherwise(scale)
+    return _once(factor, lambda f: F.transform(x, lambda v: v * f))
 
 
 def clamp(x: Column, lo: float, hi: float) -> Column:
@@ -182,12 +203,20 @@ def pcm16(x: Column) -> Column:
     return F.transform(x, lambda v: (clamp(v, -1.0, 1.0) * 32767).cast("smallint"))
 
 
+def _once(value: Column, use) -> Column:
+    """use(value) with the value computed once and not for every element of a lambda inside."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def project(v0: Column, v1: Column) -> Column:
     """struct<parallel, orthogonal> of v0 by v1's direction."""
+
+    def parts(s: Column) -> Column:
+        par = F.transform(v1, lambda x: x * s)
+        return F.struct(par.alias("parallel"), F.zip_with(v0, v1, lambda a, x: a - x * s).alias("orthogonal"))
+
     size = F.greatest(norm(v1), F.lit(1e-12))
-    along = dot(v0, v1) / size
-    par = F.transform(v1, lambda x: x / size * along)
-    return F.struct(par.alias("parallel"), F.zip_with(v0, par, lambda a, p: a - p).alias("orthogonal"))
+    return _once(dot(v0, v1) / size / size, parts)
 
 
 def guide(x: Column, cond: Column, uncond: Column, sigma: Column, scale: float, apg: float = 0.0, threshold: float = 0.0) -> Column:
@@ -196,12 +225,17 @@ def guide(x: Column, cond: Column, uncond: Column, sigma: Column, scale: float,
     c, u = denoise(cond), denoise(uncond)
     diff = F.zip_with(c, u, lambda a, b: a - b)
     if threshold > 0:
-        factor = F.least(F.lit(1.0), F.lit(threshold) / norm(diff))
-        diff = F.transform(diff, lambda v: v * factor)
-    if apg:
-        orth = project(diff, c)["orthogonal"]
-        diff = F.zip_with(orth, diff, lambda o, d: o * apg + d * (1 - apg))
-    done = F.zip_with(c, diff, lambda a, d: a + (scale - 1) * d)
+        # norm 0 divides to null, which least() passes over
+        bounded = lambda d: _once(F.least(F.lit(1.0), F.try_divide(F.lit(float(threshold)), norm(d))), lambda f: F.transform(d, lambda v: v * f))
+    else:
+        bounded = lambda d: d
+
+    def blended(d: Column) -> Column:
+        if not apg:
+            return d
+        return F.zip_with(project(d, c)["orthogonal"], d, lambda o, v: o * apg + v * (1 - apg))
+
+    done = _once(bounded(diff), lambda d: F.zip_with(c, blended(d), lambda a, v: a + (scale - 1) * v))
     return F.zip_with(x, done, lambda a, d: (a - d) / sigma)
 
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import arrays as A
+
 #: Chances of the caption kinds, of the policies for structured captions, and of an active numeric tempo (fixed values).
 CAPTION_CHANCES = (("dense", 0.30), ("vivid", 0.375), ("one_line", 0.325))
 POLICY_CHANCES = (("keep", 0.40), ("omit", 0.30), ("prefix", 0.30))
@@ -106,13 +108,13 @@ def radical_inverse(index: Column, digits: int = 32) -> Column:
 
 def shuffled(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """Rows in a seeded order; ties fall by the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key))
+    return df.orderBy(uniform(key, f"{seed}.order"), F.col(key))
 
 
 def resample(df: DataFrame, key: str, epoch: int, seed: int = 0) -> DataFrame:
     """``epoch`` draws with replacement: (draw, all columns). Draws and rows meet on a dense row number.
 
-    Numbering needs one pass over the keys: a count for each range partition, then a number within it.
+    Rows that share a key are numbered in the order of a hash of all their columns.
     """
     n = df.count()
     if not n:
@@ -121,15 +123,40 @@ def resample(df: DataFrame, key: str, epoch: int, seed: int = 0) -> DataFrame:
     return draws.join(numbered(df, key), "__n").drop("__n")
 
 
-def numbered(df: DataFrame, key: str, name: str = "__n") -> DataFrame:
-    """Dense numbers from 0 in key order, without a window over all rows."""
+#: Rows looked at for each range to find bounds that share out the keys evenly.
+PER_RANGE = 30
+
+
+def ranges(df: DataFrame, key: str) -> DataFrame:
+    """df with __at, a unique order within equal keys, and __p, the number of a key range.
+
+    Ranges follow from bounds that are part of the plan, so a row has the same range however often it is computed. The
+    bounds come from the rows of the least key hashes; whatever they are, every row has one range.
+    """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, key).sortWithinPartitions(key).withColumn("__p", F.spark_partition_id())
-    counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    starts = counts.select("__p", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__s"))
-    within = F.row_number().over(Window.partitionBy("__p").orderBy(key)) - 1
-    return ranged.join(F.broadcast(starts), "__p").withColumn(name, F.col("__s") + within).drop("__p", "__s")
+    out = df.withColumn("__at", F.xxhash64(*df.columns))
+    some = out.select(key, "__at").orderBy(F.xxhash64(key, "__at")).limit(PER_RANGE * parts).orderBy(key, "__at").collect()
+    place = lambda k, at: F.struct(k.alias("k"), at.alias("at"))
+    kind = df.schema[key].dataType
+    bounds = [place(F.lit(r[0]).cast(kind), F.lit(r[1])) for r in some[PER_RANGE::PER_RANGE]]
+    return out.withColumn("__p", A.passed(F.array(*bounds), place(F.col(key), F.col("__at"))) if bounds else F.lit(0))
+
+
+def before(df: DataFrame, value: Column) -> Column:
+    """The sum of value over all ranges before a row's own; df has __p. The driver holds a number a range."""
+    found = {r[0]: r[1] for r in df.groupBy("__p").agg(F.sum(value)).collect()}
+    total, starts = 0, []
+    for p in range(max(found, default=0) + 1):
+        starts.append(F.lit(total).cast("long"))
+        total += found.get(p, 0) or 0
+    return F.get(F.array(*starts), F.col("__p"))
+
+
+def numbered(df: DataFrame, key: str, name: str = "__n") -> DataFrame:
+    """Dense numbers from 0 in key order (null first), without a window over all rows."""
+    ranged = ranges(df, key)
+    within = F.row_number().over(Window.partitionBy("__p").orderBy(key, "__at")) - 1
+    return ranged.withColumn(name, before(ranged, F.lit(1)) + within).drop("__p", "__at")
 
 
 def replace_rejected(df: DataFrame, key: str, rejected: Column, seed: int = 0) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import itertools
 import re
 
@@ -167,6 +168,28 @@ def duration(seconds: Column) -> Column:
     return F.when(h > 0, F.format_string("%dh%02dm%02ds", h, m, r)).when(m > 0, F.format_string("%dm%02ds", m, r)).otherwise(F.format_string("%ds", r))
 
 
+def iso_date(seconds: Column) -> Column:
+    """A UTC date, 2024-01-31, from seconds since 1970, whatever the session's time zone."""
+    return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86_400).cast("int")), "yyyy-MM-dd")
+
+
+def utc_stamp(seconds: Column) -> Column:
+    """A UTC time, 2024-01-31T12:00:00Z, from seconds since 1970, whatever the session's time zone."""
+    days = F.floor(seconds / 86_400)
+    rest = seconds - days * 86_400
+    day = F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int"))
+    clock = F.format_string("T%02d:%02d:%02dZ", F.floor(rest / 3600).cast("int"), F.floor(rest % 3600 / 60).cast("int"), (rest % 60).cast("int"))
+    return F.concat(F.date_format(day, "yyyy-MM-dd"), clock)
+
+
+def nested_update(base: dict, change: dict) -> dict:
+    """A copy of a configuration with another put over it, level by level; neither input changes."""
+    out = copy.deepcopy(base)
+    for k, v in change.items():
+        out[k] = nested_update(out[k], v) if isinstance(v, dict) and isinstance(out.get(k), dict) else copy.deepcopy(v)
+    return out
+
+
 def listing_name(line: Column) -> Column:
     """The name of an object listing line (date, time, size, name); null for folders."""
     name = F.regexp_replace(line, r"^\S+\s+\S+\s+\d+\s+", "")

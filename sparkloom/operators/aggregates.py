@@ -42,8 +42,11 @@ def normalized_mse(df: DataFrame, pred: Column, target: Column, valid: Column, b
     if by is None:
         return df.withColumn("nmse", mse)
     seen = target if over_all else F.when(valid, target)
-    var = F.coalesce(F.var_pop(seen).over(Window.partitionBy(*by)) + eps, F.lit(1.0))
-    return df.withColumn("nmse", F.when(valid, mse / var).otherwise(mse))
+    # variances are aggregated before they meet the rows: few keys would otherwise be few tasks
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(by)]
+    var = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]).agg(F.var_pop(seen).alias("__var"))
+    out = df.join(var, same, "left").withColumn("nmse", F.when(valid, mse / F.coalesce(F.col("__var") + eps, F.lit(1.0))).otherwise(mse))
+    return out.select(*df.columns, "nmse")
 
 
 def bucketed_mean(df: DataFrame, sigma: Column, value: Column, valid: Column, buckets: int = 10) -> DataFrame:

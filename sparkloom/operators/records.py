@@ -104,18 +104,30 @@ def group_members(df: DataFrame, key: str, ext: str, value: str) -> DataFrame:
     return df.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(ext, value))).alias("members"))
 
 
+#: Roots that are looked up in the row: a literal of about 100 bytes each.
+FEW_ROOTS = 200
+
+
 def root_match(df: DataFrame, path: str, roots: DataFrame, first: bool = True) -> DataFrame:
     """df with the columns of the roots (root, priority, ...) that are folders of its path.
 
-    Paths are joined on their own folder prefixes, so no pair is compared that does not match. With ``first`` only the
-    root of the least priority is kept, and rows without one keep nulls.
+    With ``first`` only the root of the least priority (then name) is kept, and rows without one keep nulls. Up to
+    FEW_ROOTS roots are looked up in a map, a row at a time; more are joined on a path's own folder prefixes, so no pair
+    is compared that does not match.
     """
     parts = F.split(path, "/")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
     if not first:
         return df.withColumn("root", F.explode(prefixes)).join(roots, "root")
-    rows = df.withColumn("__id", F.monotonically_increasing_id())
     extra = [c for c in roots.columns if c != "root"]
+    few = roots.select("root", *extra).limit(FEW_ROOTS + 1).collect()
+    if few and len(few) <= FEW_ROOTS:
+        kinds = roots.select(F.struct("root", *extra).alias("s")).schema["s"].dataType
+        order = sorted({r["root"]: r for r in sorted(few, key=lambda r: (r["priority"], r["root"]), reverse=True)}.values(), key=lambda r: (r["priority"], r["root"]))
+        known = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in kinds.fields]) for r in order])
+        own = F.filter(known, lambda r: F.array_contains(prefixes, r["root"]))  # in the order of priority
+        return df.withColumn("__r", F.get(own, F.lit(0))).select(*df.columns, "__r.root", *[f"__r.{c}" for c in extra])
+    rows = df
     met = df.select(F.col(path).alias("__path")).distinct().withColumn("root", F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("__path", "/"))), lambda k: F.array_join(F.slice(F.split("__path", "/"), 1, k), "/")))).join(roots, "root")
     best = met.groupBy("__path").agg(F.min_by(F.struct("root", *extra), F.struct("priority", "root")).alias("__r"))
     return rows.join(best, rows[path] == best["__path"], "left").select(*df.columns, "__r.root", *[f"__r.{c}" for c in extra])
@@ -171,8 +183,10 @@ def missing_remote(local: DataFrame, remote: DataFrame) -> DataFrame:
 
 
 def keep_newest(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    """The first n rows in order, of each key or, without keys, of all; with their rank."""
+    if not keys:  # n rows: sorted a partition at a time, then merged
+        return df.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= n)
 
 
 def version_step(name: Column) -> Column:

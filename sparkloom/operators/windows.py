@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
+from ..functions import draws as D
 from ..functions.schedules import ema_decay
 
 
@@ -59,14 +60,10 @@ def spans(df: DataFrame, keys: list[str], order: str, on: Column) -> DataFrame:
 
 
 def cumulative(df: DataFrame, key: str, length: Column) -> DataFrame:
-    """key, start, end: running sums of lengths in key order, by range partitions and not in one task."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(key, length.cast("long").alias("__n")).repartitionByRange(parts, key).withColumn("__p", F.spark_partition_id())
-    sums = rows.groupBy("__p").agg(F.sum("__n").alias("__t"))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    base = sums.select("__p", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__b"))
-    end = F.sum("__n").over(Window.partitionBy("__p").orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
-    out = rows.join(F.broadcast(base), "__p").withColumn("end", F.col("__b") + end)
+    """key, start, end: running sums of lengths in key order, by key ranges and not in one task. Null lengths are 0."""
+    rows = D.ranges(df.select(key, F.coalesce(length.cast("long"), F.lit(0).cast("long")).alias("__n")), key)
+    inside = F.sum("__n").over(Window.partitionBy("__p").orderBy(key, "__at").rowsBetween(Window.unboundedPreceding, 0))
+    out = rows.withColumn("end", D.before(rows, F.col("__n")) + inside)
     return out.select(key, (F.col("end") - F.col("__n")).alias("start"), "end")
 
 

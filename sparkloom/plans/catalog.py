@@ -6,7 +6,7 @@ conversation for a record of several chunks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
@@ -17,37 +17,15 @@ from ..operators import aggregates as G
 from ..operators import conditioning as K
 from ..operators import records as R
 from ..operators import windows as W
+from .registry import ORACLES, QUERIES, query
+from .registry import VEC as _VEC
+from .registry import rounded as _r
+from .registry import table as _t
+from .registry import uniform_sql as _u
+from .registry import weighed as _w
+from .registry import weighed_sql as _ws
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def query(sql: str | None = None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLES[fn.__name__] = sql
-        return fn
-
-    return register
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _r(c, name: str, digits: int = 6):
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, digits).alias(name)
-
-
-def _u(tag: str, key: str) -> str:
-    """uniform() in DuckDB."""
-    return f"(('0x' || substr(sha1('{tag}:' || {key}), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0::DOUBLE)"
-
-
-_VEC = "list_transform(embedding, lambda x: x::DOUBLE)"
-
+__all__ = ["ORACLES", "QUERIES"]
 
 @query(f"""
 WITH d AS (SELECT doc_id, n_chars, CASE WHEN {_u('0', 'doc_id')} < 0.1 THEN 'val' ELSE 'train' END AS split FROM documents),
@@ -90,9 +68,9 @@ def overlap_chunk_starts(spark, d):
     return docs.select("doc_id", F.explode(A.overlap_starts(F.col("n_chars"), 500, 125)).alias("start"))
 
 
-@query("SELECT doc_id, true AS same, length(text)::INTEGER AS n FROM documents WHERE length(text) BETWEEN 200 AND 1500")
+@query("SELECT doc_id, true AS same, length(text)::INTEGER AS n FROM documents")
 def overlap_stitch_identity(spark, d):
-    docs = _t(spark, d, "documents").filter(F.char_length("text").between(200, 1500)).select("doc_id", "text")
+    docs = _t(spark, d, "documents").select("doc_id", "text")
     out = W.stitch(docs, "doc_id", "text", 200, 50)
     return out.join(docs, "doc_id").select("doc_id", (F.col("stitched") == F.col("text")).alias("same"), F.char_length("stitched").alias("n"))
 
@@ -210,7 +188,7 @@ def ceil_mask_resize(spark, d):
 
 
 @query("""
-SELECT doc_id, (SELECT count(*) FROM range(0, least(n_chars, 200)) t(i) WHERE NOT (i >= 10 AND i < 20) AND NOT (i >= 50 AND i < 80) AND i < 150)::INTEGER AS kept FROM documents""")
+SELECT doc_id, (SELECT count(*) FROM range(0, n_chars) t(i) WHERE NOT (i >= 10 AND i < 20) AND NOT (i >= 50 AND i < 80) AND i < 150)::INTEGER AS kept FROM documents""")
 def interval_mask(spark, d):
     regions = F.array(F.struct(F.lit(10).alias("s"), F.lit(20).alias("e")), F.struct(F.lit(50).alias("s"), F.lit(80).alias("e")))
     mask = A.interval_mask(F.coalesce("n_chars", F.lit(200)), regions, F.lit(150))
@@ -219,26 +197,26 @@ def interval_mask(spark, d):
 
 @query(f"""
 WITH o AS (SELECT vec_id, {_VEC} AS x, least(floor({_u('crop', 'vec_id')} * 17), 16)::INTEGER AS o FROM embeddings)
-SELECT vec_id, o AS crop_start, round(list_sum(x[o + 1:o + 48]), 5) AS cropped, round(list_sum(x[o + 1:]), 5) AS padded, 80 AS n FROM o""")
+SELECT vec_id, o AS crop_start, round({_ws('x[o + 1:o + 48]')}, 5) AS cropped, round({_ws('x[o + 1:]')}, 5) AS padded, 80 AS n FROM o""")
 def pad_crop(spark, d):
     e = _t(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x")).withColumn("o", D.offset("vec_id", F.lit(16)))
     wide = A.crop_or_pad(F.col("x"), F.col("o"), 80)
-    return e.select("vec_id", F.col("o").alias("crop_start"), _r(A.total(A.crop_or_pad(F.col("x"), F.col("o"), 48)), "cropped", 5), _r(A.total(wide), "padded", 5), F.size(wide).alias("n"))
+    return e.select("vec_id", F.col("o").alias("crop_start"), _r(_w(A.crop_or_pad(F.col("x"), F.col("o"), 48)), "cropped", 5), _r(_w(wide), "padded", 5), F.size(wide).alias("n"))
 
 
 @query(f"""
 WITH e AS (SELECT vec_id, {_VEC} AS x FROM embeddings)
-SELECT vec_id, round(list_sum(x) + list_sum(list_transform(range(0, 16), lambda i: x[(i % 5) + 1])), 5) AS tiled, 80 AS n FROM e""")
+SELECT vec_id, round({_ws('x')} + list_sum(list_transform(range(0, 16), lambda i: x[(i % 5) + 1] * (65 + i))), 5) AS tiled, 80 AS n FROM e""")
 def latent_crop_pad(spark, d):
     x = F.col("embedding").cast("array<double>")
     out = A.tile_pad(x, 80, F.slice(x, 1, 5))
-    return _t(spark, d, "embeddings").select("vec_id", _r(A.total(out), "tiled", 5), F.size(out).alias("n"))
+    return _t(spark, d, "embeddings").select("vec_id", _r(_w(out), "tiled", 5), F.size(out).alias("n"))
 
 
-@query(f"SELECT vec_id, true AS same, round(list_sum(list_transform(range(0, 8), lambda i: ({_VEC})[i * 8 + 3])), 5) AS third_row FROM embeddings")
+@query(f"SELECT vec_id, true AS same, round(list_sum(list_transform(range(0, 8), lambda i: ({_VEC})[i * 8 + 3] * (i + 1))), 5) AS third_row FROM embeddings")
 def patch_unpatch(spark, d):
     e = _t(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x")).withColumn("p", A.patch(F.col("x"), 8))
-    return e.select("vec_id", (A.unpatch(F.col("p")) == F.col("x")).alias("same"), _r(A.total(F.get(F.col("p"), F.lit(2))), "third_row", 5))
+    return e.select("vec_id", (A.unpatch(F.col("p")) == F.col("x")).alias("same"), _r(_w(F.get(F.col("p"), F.lit(2))), "third_row", 5))
 
 
 @query(f"SELECT vec_id, round(sqrt(list_sum(list_transform({_VEC}, lambda x: x * x))), 6) AS norm, round(list_sum(list_transform({_VEC}, lambda x: x * x)) / 64, 6) AS energy FROM embeddings")
@@ -265,14 +243,20 @@ def apg_projection(spark, d):
 
 
 @query(f"""
-WITH {_PAIRS}
-SELECT vec_id, round(list_sum(list_transform(range(1, 65), lambda i: a[i] + 3.0 * (b[i] - a[i]) )), 4) AS guided FROM p""")
+WITH {_PAIRS},
+q AS (SELECT vec_id, a, b, list_transform(range(1, 65), lambda i: a[i] - b[i]) AS d FROM p),
+n AS (SELECT vec_id, a, b, d, least(1.0, 0.8 / sqrt({_DOT.format('d', 'd')})) AS f FROM q),
+o AS (SELECT vec_id, a, b, f, d, {_DOT.format('d', 'b')} / {_DOT.format('b', 'b')} AS along FROM n)
+SELECT vec_id, round(list_sum(list_transform(range(1, 65), lambda i: (a[i] + 3.0 * (b[i] - a[i])) * i)), 4) AS guided,
+       round(list_sum(list_transform(range(1, 65), lambda i: (b[i] - 2.0 * (0.6 * f * (d[i] - along * b[i]) + 0.4 * f * d[i])) * i)), 4) AS projected FROM o""")
 def cfg_combine(spark, d):
-    """x = 0 and sigma = 1: the output is uncond + scale * (cond - uncond), by branch rows brought together."""
+    """x = 0 and sigma = 1: the output is uncond + scale * (cond - uncond), by branch rows brought together; then the
+    same with the difference bounded by a norm and 0.6 of it projected off the conditional output."""
     both = R.branches(_pairs(spark, d)).withColumn("out", F.when(F.col("branch") == "cond", F.col("b")).otherwise(F.col("a")))
     p = both.groupBy("vec_id").pivot("branch", ["cond", "uncond"]).agg(F.first("out"))
     zero = F.transform(F.col("cond"), lambda v: F.lit(0.0))
-    return p.select("vec_id", _r(A.total(A.guide(zero, F.col("cond"), F.col("uncond"), F.lit(1.0), 3.0)), "guided", 4))
+    how = lambda **k: _w(A.guide(zero, F.col("cond"), F.col("uncond"), F.lit(1.0), 3.0, **k))
+    return p.select("vec_id", _r(how(), "guided", 4), _r(how(apg=0.6, threshold=0.8), "projected", 4))
 
 
 @query("""
@@ -398,21 +382,22 @@ def name_filter_brackets(spark, d):
 
 
 @query("""
-WITH f AS (SELECT vec_id, unnest(range(0, 64)) AS ch, unnest(list_transform(embedding, lambda x: x::DOUBLE)) AS v FROM embeddings WHERE vec_id < 32),
-a AS (SELECT vec_id AS r, ch AS k, v FROM f WHERE ch < 8), b AS (SELECT vec_id AS c, ch - 8 AS k, v FROM f WHERE ch >= 8 AND ch < 16)
-SELECT r, c, round(sum(a.v * b.v) * 0.5, 6) AS delta FROM a JOIN b ON a.k = b.k GROUP BY r, c""")
+WITH f AS (SELECT vec_id, label, unnest(range(0, 64)) AS ch, unnest(list_transform(embedding, lambda x: x::DOUBLE)) AS v FROM embeddings),
+a AS (SELECT vec_id AS r, ch AS k, v FROM f WHERE ch < 8), b AS (SELECT label AS c, ch - 8 AS k, avg(v) AS v FROM f WHERE ch >= 8 AND ch < 16 GROUP BY 1, 2)
+SELECT r, c, round(sum(a.v * b.v) * 0.5, 6) + 0.0::DOUBLE AS delta FROM a JOIN b ON a.k = b.k GROUP BY r, c""")
 def low_rank_update(spark, d):
+    """Every vector's first 8 channels by a factor of 8 x 10, the means of labels: linear in the number of vectors."""
     from ..operators.lowrank import long_product
 
-    f = _frames(spark, d).filter("vec_id < 32")
+    f = _frames(spark, d)
     up = f.filter("ch < 8").select(F.col("vec_id").alias("r"), F.col("ch").alias("k"), "v")
-    down = f.filter("ch between 8 and 15").select((F.col("ch") - 8).alias("k"), F.col("vec_id").alias("c"), "v")
-    return long_product(up, down, 0.5).select("r", "c", _r("v", "delta"))
+    down = f.filter("ch between 8 and 15").groupBy((F.col("ch") - 8).alias("k"), F.col("label").alias("c")).agg(F.avg("v").alias("v"))
+    return long_product(up, down, 0.5).select("r", "c", (F.round("v", 6) + F.lit(0.0)).alias("delta"))
 
 
-@query("SELECT label, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM (SELECT label, unnest(list_transform(embedding, lambda x: x::DOUBLE)) AS v FROM embeddings) GROUP BY label")
+@query("SELECT label, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(avg(v) * avg(v) + var_pop(v) - ln(var_pop(v) + 1e-8) - 1, 6) AS penalty FROM (SELECT label, unnest(list_transform(embedding, lambda x: x::DOUBLE)) AS v FROM embeddings) GROUP BY label")
 def bottleneck_statistics(spark, d):
-    return G.bottleneck_stats(_frames(spark, d), ["label"], "v").select("label", _r("mean", "mean"), _r("std", "std"))
+    return G.bottleneck_stats(_frames(spark, d), ["label"], "v").select("label", _r("mean", "mean"), _r("std", "std"), _r("penalty", "penalty"))
 
 
 @query("SELECT round(avg(m), 6) AS validation_mean FROM (SELECT event_type, avg(value) AS m FROM events GROUP BY event_type)")
@@ -442,11 +427,21 @@ def collate_batches(spark, d):
 
 
 @query("""
-WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents), n AS (SELECT count(*) AS n FROM documents),
+WITH d AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents), n AS (SELECT count(*) AS n FROM documents),
 k AS (SELECT k AS draw, least(floor((('0x' || substr(sha1('0.draw:' || k), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0::DOUBLE) * n), n - 1)::BIGINT AS i FROM range(0, 300) t(k), n)
-SELECT draw, doc_id FROM k JOIN d USING (i)""")
+SELECT draw, doc_id, text, lang, source, n_chars FROM k JOIN d USING (i)""")
 def epoch_resample(spark, d):
-    return D.resample(_t(spark, d, "documents").select("doc_id"), "doc_id", 300).select("draw", "doc_id")
+    return D.resample(_t(spark, d, "documents"), "doc_id", 300).select("draw", "doc_id", "text", "lang", "source", "n_chars")
+
+
+@query(f"""
+WITH g AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM documents WHERE n_chars <= 3000),
+b AS (SELECT doc_id AS key, least(floor({_u('0.again', 'doc_id')} * (SELECT max(n) FROM g)), (SELECT max(n) FROM g) - 1)::BIGINT AS i FROM documents WHERE n_chars > 3000)
+SELECT doc_id, text, lang, source, n_chars, doc_id AS source_key FROM g
+UNION ALL SELECT b.key, g.text, g.lang, g.source, g.n_chars, g.doc_id FROM b JOIN g USING (i)""")
+def reject_resample(spark, d):
+    """Rejected records give way to a drawn other one, with its whole row."""
+    return R.on_reject(_t(spark, d, "documents"), "doc_id", F.col("n_chars") > 3000, "resample")
 
 
 @query("SELECT doc_id, lang, n_chars // 100 AS seconds, greatest(n_chars / 1000.0, 5.0) AS duration FROM documents")
@@ -510,66 +505,11 @@ def micro_batching(spark, d):
 
 
 @query("""
-SELECT vec_id, list_sum(list_transform(range(1, 9), lambda i: CASE WHEN i % 2 = 0 THEN embedding[i]::DOUBLE ELSE embedding[i + 8]::DOUBLE END)) IS NOT NULL AS ok,
-       round(list_sum(list_transform(range(1, 9), lambda i: CASE WHEN i % 2 = 0 THEN embedding[i]::DOUBLE ELSE embedding[i + 8]::DOUBLE END)), 6) AS pasted FROM embeddings""")
+SELECT vec_id, round(list_sum(list_transform(range(1, 65), lambda i: i * CASE WHEN i % 3 = 0 THEN embedding[i]::DOUBLE ELSE embedding[65 - i]::DOUBLE END)), 5) AS pasted FROM embeddings""")
 def paste_back(spark, d):
     e = F.col("embedding").cast("array<double>")
-    mask = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: (i % 2 == 0).cast("int"))
-    out = A.total(K.paste_back(F.slice(e, 9, 8), F.slice(e, 1, 8), mask))
-    return _t(spark, d, "embeddings").select("vec_id", out.isNotNull().alias("ok"), _r(out, "pasted"))
-
-
-@query()
-def generation_requests(spark, d):
-    rows = _t(spark, d, "conversations").groupBy(F.col("conv_id").alias("id")).agg(F.array_sort(F.collect_list("text")).alias("prompt"))
-    rows = rows.select("id", "prompt", F.lit(None).cast("array<string>").alias("negative_prompt"), F.array(F.lit(2.0)).alias("duration"), F.array(F.lit(0.5)).alias("inpaint_starts"), F.array(F.lit(1.0)).alias("inpaint_ends"))
-    return K.requests(rows).select("id", "place", "seconds_total", "samples", "latents", F.aggregate("mask", F.lit(0), lambda a, v: a + v).alias("kept"))
-
-
-@query()
-def pca_points(spark, d):
-    return G.pca(_t(spark, d, "embeddings"), "embedding").select("vec_id", F.transform("pca", lambda v: F.round(v, 5)).alias("pca"))
-
-
-@query()
-def shard_packing(spark, d):
-    docs = _t(spark, d, "documents").select(D.split("doc_id", 0.1).alias("split"), "doc_id", F.col("doc_id").alias("grp"), A.chunk_count(F.col("n_chars"), 500).alias("size"))
-    return W.pack(docs, ["split"], "doc_id", "grp", "size", 40)
-
-
-@query()
-def caption_conditions(spark, d):
-    docs = _t(spark, d, "documents").select(
-        "doc_id", F.concat(F.lit("Genre: Folk\n\n"), F.col("text")).alias("dense_caption"), F.col("text").alias("vivid_caption"), F.col("text").alias("one_line_caption"),
-        F.lit("Folk").alias("genre"), F.lit("Indie, Folk, Ballad").alias("subgenres"), (F.col("n_chars") % 90 + 60.5).alias("bpm"), F.when(F.col("doc_id") % 2 == 0, "yes").otherwise("no").alias("bpm_valid"),
-    )
-    return R.caption_condition(docs, "doc_id").select("doc_id", "bucket", "policy", "prompt", "tempo")
-
-
-@query()
-def stream_barrier(spark, d):
-    from ..streaming.etl import barrier_over_table
-
-    return barrier_over_table(spark, f"{d}/conversations.parquet")
-
-
-@query()
-def stream_file_source(spark, d):
-    from ..streaming.etl import daily_counts_over_table
-
-    return daily_counts_over_table(spark, f"{d}/events.parquet")
-
-
-@query()
-def euler_sampler(spark, d):
-    from ..operators.samplers import sample
-
-    e = _t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("x"))
-    return sample(e.withColumn("t", S.schedule(8, F.lit(2000), S.log_snr)), how="euler")
-
+    mask = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: (i % 3 == 0).cast("int"))
+    return _t(spark, d, "embeddings").select("vec_id", _r(_w(K.paste_back(F.reverse(e), e, mask)), "pasted", 5))
 
-@query()
-def inpaint_masks(spark, d):
-    from ..operators.inpaint import random_masks
 
-    return random_masks(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.coalesce("n_chars", F.lit(256)).cast("int").alias("n")))
+from . import catalog_functions, catalog_records  # noqa: E402, F401  they register their queries

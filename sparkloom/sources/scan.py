@@ -10,11 +10,13 @@ import wave
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..storage import filesystem
 
 #: File endings of audio, and parts of names that are never data (fixed values).
 AUDIO = ("wav", "mp3", "flac", "ogg", "aif", "opus")
@@ -227,11 +229,50 @@ def tensors(df: DataFrame, prefix: str = "") -> DataFrame:
     return read.select("path", "t.metadata", F.explode("t.tensors").alias("x")).select("path", "metadata", "x.*").filter(F.startswith("name", F.lit(prefix)))
 
 
+def tensor_ranges(files: DataFrame, prefix: str = "") -> DataFrame:
+    """path, name, shape, values of tensor files (path) for names under a prefix: the header is read first, then only
+    the byte ranges of wanted tensors."""
+    kinds = {"F32": "<f4", "F64": "<f8", "F16": "<f2", "I64": "<i8", "I32": "<i4"}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                system, local = filesystem(path)
+                with system.open_input_file(local) as f:
+                    size = struct.unpack("<Q", f.read(8))[0]
+                    head = json.loads(f.read(size))
+                    for name, t in head.items():
+                        if name == "__metadata__" or not name.startswith(prefix):
+                            continue
+                        a, z = t["data_offsets"]
+                        f.seek(8 + size + a)
+                        x = np.frombuffer(f.read(z - a), kinds[t["dtype"]]).astype(np.float32)
+                        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([name]), pa.array([t["shape"]], pa.list_(pa.int32())), pa.array([x], pa.list_(pa.float32()))], names=["path", "name", "shape", "values"])
+
+    return files.select("path").mapInArrow(run, "path string, name string, shape array<int>, values array<float>")
+
+
+def wav_bytes(samples: Column, rate: int) -> Column:
+    """A 16-bit PCM file of array<array<double>> (channel rows)."""
+
+    @F.pandas_udf("binary")
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: None if v is None else write_wav([list(row) for row in v], rate))
+
+    return run(samples)
+
+
+def object_listing(spark: SparkSession, root: str, contains: str = "") -> DataFrame:
+    """path, length, modified of the objects below a root whose names hold a text: a listing, nothing is opened."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    df = df.select("path", "length", F.col("modificationTime").alias("modified"))
+    return df.filter(F.contains(F.regexp_extract("path", r"([^/]+)$", 1), F.lit(contains))) if contains else df
+
+
 def object_urls(names: DataFrame, subsets: list[str], listing: DataFrame, prefix: str, contains: str = "tar") -> DataFrame:
     """url: listed objects (name, line) for every name and subset, folders left out; a subset is not put in front of a
     path that begins with it."""
-    sub = listing.sparkSession.createDataFrame([(s,) for s in subsets or [""]], "subset string")
-    rows = names.crossJoin(F.broadcast(sub)) if subsets else names.withColumn("subset", F.lit(""))
+    rows = names.withColumn("subset", F.explode(F.array(*[F.lit(s) for s in subsets or [""]])))
     rows = rows.join(listing.withColumn("object", T.listing_name(F.col("line"))), "name").filter(F.col("object").isNotNull() & F.contains("object", F.lit(contains)))
     path = F.when((F.col("subset") == "") | F.startswith("object", F.concat("subset", F.lit("/"))), F.col("object")).otherwise(F.concat("subset", F.lit("/"), "object"))
     return rows.select(F.concat(F.lit(prefix.rstrip("/") + "/"), "name", F.lit("/"), path).alias("url")).distinct()

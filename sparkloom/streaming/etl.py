@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,33 +10,49 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..storage import shared_root
+
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="sparkloom-")
-    return f"{root}/stream/{name}-{uuid.uuid4().hex[:10]}"
+    return f"{shared_root(spark)}/stream/{name}-{uuid.uuid4().hex[:10]}"
 
 
-def barrier_stream(messages: DataFrame) -> DataFrame:
+def barrier_stream(messages: DataFrame, forget_ms: int | None = None) -> DataFrame:
     """(key, n) once all chunks of a key have come, in whatever order.
 
     messages: key string, chunk_idx int (null for the end message), expected int (set on the end message). Chunks that
-    come again do not count twice; a key is reported once.
+    come again do not count twice; a key is reported once. The state holds the chunks of open keys; of a reported key
+    only a mark stays. With ``forget_ms``, which needs a watermark on the messages, the mark goes when event time has
+    moved on by that much (chunks that come again later than that would open the key anew).
     """
+    timeout = GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.EventTimeTimeout
+
+    def keep_mark(state: GroupState) -> None:
+        if forget_ms is not None:
+            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + forget_ms)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        expected, seen, done = state.get if state.exists else (-1, "", False)
-        have = set(seen.split(",")) - {""}
+        expected, seen, done = state.get if state.exists else (-1, [], False)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if done:
+            keep_mark(state)
+            return
+        have = set(seen)
         for pdf in frames:
-            have |= {str(int(c)) for c in pdf["chunk_idx"].dropna()}
+            have |= {int(c) for c in pdf["chunk_idx"].dropna()}
             ends = pdf["expected"].dropna()
             if len(ends):
-                expected = int(ends.max())
-        now = not done and 0 <= expected <= len(have)
-        state.update((expected, ",".join(sorted(have)), done or now))
-        if now:
+                expected = max(expected, int(ends.max()))
+        if 0 <= expected <= len(have):
+            state.update((expected, [], True))
+            keep_mark(state)
             yield pd.DataFrame({"key": [key[0]], "n": [len(have)]})
+        else:
+            state.update((expected, sorted(have), False))
 
-    return messages.groupBy("key").applyInPandasWithState(step, "key string, n long", "expected int, seen string, done boolean", "append", GroupStateTimeout.NoTimeout)
+    return messages.groupBy("key").applyInPandasWithState(step, "key string, n long", "expected int, seen array<int>, done boolean", "append", timeout)
 
 
 def run_once(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -78,12 +93,20 @@ def sessions(events: DataFrame, key: str, gap: str) -> DataFrame:
     return events.groupBy(key, F.session_window("ts", gap)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def encode_stream(chunks: DataFrame, encode: Callable[[pd.DataFrame], pd.DataFrame], schema: str, path: str, policy: str = "skip"):
+def encode_stream(chunks: DataFrame, encode: Callable[[pd.DataFrame], pd.DataFrame], schema: str, path: str, policy: str = "skip", batched: bool = False):
     """A query that encodes micro-batches into ``path/data/batch=<id>``; failures go to ``path/errors`` or, with the
-    policy 'fail', end the query. A batch that runs again overwrites its own folder, so nothing is lost or doubled."""
+    policy 'fail', end the query. With ``batched`` the encoder, which must then refuse frames with any row it cannot
+    encode, gets whole frames first and single rows only of refused ones. A batch that runs again overwrites its own folder, so nothing is lost or doubled."""
 
     def safe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
+            if batched:
+                try:
+                    yield encode(pdf).assign(error=None, failed_key=None)
+                    continue
+                except Exception:
+                    if policy == "fail":
+                        raise
             for k in range(len(pdf)):
                 one = pdf.iloc[k : k + 1]
                 try:

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 from sparkloom.functions import arrays as A
 from sparkloom.functions import draws as D
@@ -183,6 +184,9 @@ def test_streams(spark, tmp_path):
     out = etl.run_once(etl.barrier_stream(stream), "t").collect()
     assert [(r["key"], r["n"]) for r in out] == [("a", 2)]
 
+    timed = spark.readStream.schema(schema).parquet(src).withColumn("ts", F.timestamp_seconds(F.coalesce("chunk_idx", F.lit(0)) * 3600 + 1_000_000)).withWatermark("ts", "1 hour")
+    assert etl.run_once(etl.barrier_stream(timed, forget_ms=60_000), "u").collect() == out
+
     def encode(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf.iloc[0]["key"] == "b":
             raise ValueError("no")
@@ -192,6 +196,15 @@ def test_streams(spark, tmp_path):
     etl.encode_stream(spark.readStream.schema(schema).parquet(src), encode, "key string, y long", path).awaitTermination()
     assert spark.read.parquet(f"{path}/data").count() == 4 and spark.read.json(f"{path}/errors").count() == 3
 
+    def strict(pdf: pd.DataFrame) -> pd.DataFrame:
+        if (pdf["key"] == "b").any():
+            raise ValueError("no")
+        return pd.DataFrame({"key": pdf["key"], "y": pdf["chunk_idx"].fillna(-1).astype("int64")})
+
+    path = str(tmp_path / "batched")
+    etl.encode_stream(spark.readStream.schema(schema).parquet(src), strict, "key string, y long", path, batched=True).awaitTermination()
+    assert spark.read.parquet(f"{path}/data").count() == 4 and spark.read.json(f"{path}/errors").count() == 3
+
 
 def test_encode_plan(spark):
     from sparkloom.plans import encode
@@ -243,3 +256,33 @@ def test_stream_end_check(spark):
     with pytest.raises(RuntimeError):
         etl.assert_resolved(m)
     etl.assert_resolved(m.filter("key = 'a'"))
+
+
+@pytest.mark.parametrize(("name", "key"), [("documents", "doc_id"), ("lineitem", "l_orderkey"), ("orders", "o_orderpriority")])
+def test_numbers_are_dense_over_many_partitions(spark, name, key):
+    df = spark.read.parquet(f"{DATA}/sf0.1/{name}.parquet").repartition(4)
+    n = df.count()
+    got = D.numbered(df, key).agg(F.count(F.lit(1)), F.count_distinct("__n"), F.min("__n"), F.max("__n")).first()
+    assert tuple(got) == (n, n, 0, n - 1)
+    w = D.numbered(df, key).select("__n", key).orderBy("__n").select(key).toPandas()[key]
+    assert w.is_monotonic_increasing
+
+
+def test_numbers_of_odd_tables(spark):
+    rows = [(None, 1), (None, 1), ("a", None), ("b", 2), ("b", 2), ("b", 3)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    got = D.numbered(df, "k").orderBy("__n").collect()
+    assert [r["__n"] for r in got] == list(range(6)) and [r["k"] for r in got] == [None, None, "a", "b", "b", "b"]
+    assert D.numbered(df.limit(0), "k").collect() == []
+    ends = sorted(r["end"] for r in W.cumulative(df, "k", F.col("v")).collect())
+    assert ends[-1] == 9
+
+
+def test_running_sums_against_a_window(spark):
+    df = spark.read.parquet(f"{DATA}/sf0.1/orders.parquet").repartition(4)
+    got = W.cumulative(df, "o_orderkey", F.col("o_custkey")).agg(F.sum("end").cast("string"), F.max("end")).first()
+    total, acc = 0, 0
+    for (v,) in df.orderBy("o_orderkey").select("o_custkey").toPandas().itertuples(index=False):
+        acc += v
+        total += acc
+    assert (int(got[0]), got[1]) == (total, acc)
