@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from . import common as C
 
 TABLES = 16
-#: Rows in the cells that a query looks into, counted once a table: BASE * k + BUDGET * n ** POWER. The nearest neighbours of unstructured vectors come
-#: closer as their number grows, though slowly; a fixed share would cost too much, a fixed number lose recall.
-BASE, BUDGET, POWER = 50, 3.0, 0.75
+#: Rows in the cells that a query looks into, counted once a table: BASE * k + BUDGET * n ** POWER. A query's work grows
+#: with the square root of the table. Vectors without any structure, whose neighbours are hardly closer than other rows,
+#: lose recall as a table grows by this rule (measured in the README); a larger budget buys it back.
+BASE, BUDGET, POWER = 100, 27.0, 0.5
 #: Signed axes that a hash tells apart, at most, and the nearest of them that a query looks at.
 AXES, NEAR = 128, 64
 #: Vectors of a block; a block is compared with its queries in one task.
@@ -194,8 +195,8 @@ def _search(rows: DataFrame, dim: int, every: int, k: int, tables: int, budget:
 
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     probes = queries.repartition(shuffles, "id").mapInArrow(probe, "query long, cell int")
-    asks = codes.join(probes, "cell").groupBy("query", "part").agg(F.collect_set("id").alias("ids"))
-    asks = asks.join(queries.select(F.col("id").alias("query"), "x"), "query").select("part", F.col("query").alias("id"), "ids", "x")
+    asks = codes.join(probes.hint("merge"), "cell").groupBy("query", "part").agg(F.collect_set("id").alias("ids"))
+    asks = asks.hint("merge").join(queries.select(F.col("id").alias("query"), "x"), "query").select("part", F.col("query").alias("id"), "ids", "x")
     best = _best(_blocks(spark, index, asks, n_parts, k), k)
     best = C.materialize(best, "neighbours")
 

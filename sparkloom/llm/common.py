@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
+from ..storage import filesystem, scratch, shared_root
 
 #: Whitespace of the text contracts: space and the ASCII controls 0x09 to 0x0D.
 WS = "\t\n\x0b\x0c\r "
@@ -25,30 +24,6 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-#: Our own folders, by application, where a local session names none.
-_OWN_ROOTS: dict[str, str] = {}
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where that is unset, a local session (one machine) gets a temporary folder; a cluster is told to name one, as its
-    executors would write to their own disks.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        context = spark.sparkContext
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = _OWN_ROOTS.setdefault(context.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="sparkloom-shared-")
-        _OWN_ROOTS[context.applicationId] = root
-    return root.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/sparkloom/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage in a way that survives lost executors.
 
@@ -113,13 +88,6 @@ def stretches(text: bytes, limit: int = 1 << 20, at: bytes = b"\n ", hard: bool
     yield text[a:]
 
 
-def filesystem(path: str):
-    """(pyarrow file system, path) for a local path or a URI."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

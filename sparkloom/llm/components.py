@@ -50,7 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = links.select(F.col("v").alias("x"), F.col("root").alias("y")).union(links.select("root", "v"))
         # the rows of a hub are spread over SALT keys, and its least neighbour goes to each
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-        large = C.materialize(both.filter("y > x").withColumn("salt", F.pmod(F.xxhash64("y"), F.lit(SALT)).cast("int")).join(least, ["x", "salt"]).select(F.col("y").alias("v"), F.col("m").alias("root")).distinct(), "large-star")
+        large = C.materialize(both.filter("y > x").withColumn("salt", F.pmod(F.xxhash64("y"), F.lit(SALT)).cast("int")).join(least.hint("merge"), ["x", "salt"]).select(F.col("y").alias("v"), F.col("m").alias("root")).distinct(), "large-star")
         down = large.groupBy("v").agg(F.min("root").alias("m"))
         small = large.join(down, "v").filter("root <> m").select(F.col("root").alias("v"), F.col("m").alias("root")).union(down.select("v", "m")).distinct()
         old, links = links, C.materialize(small, "small-star")
