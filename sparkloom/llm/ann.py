@@ -31,6 +31,8 @@ BASE, BUDGET, POWER = 100, 27.0, 0.5
 AXES, NEAR = 128, 64
 #: Vectors of a block; a block is compared with its queries in one task.
 PART = 4_096
+#: Probes (12 bytes, about 60 in a hash table) and numbers of query vectors (8 bytes) up to these counts are broadcast.
+BROADCAST_PROBES, BROADCAST_NUMBERS = 500_000, 2_000_000
 SCHEMA = "query_id long, rank int, vec_id long, score double"
 
 
@@ -194,9 +196,12 @@ def _search(rows: DataFrame, dim: int, every: int, k: int, tables: int, budget:
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(cells).astype(np.int32))], names=["query", "cell"])
 
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    probes = queries.repartition(shuffles, "id").mapInArrow(probe, "query long, cell int")
-    asks = codes.join(probes.hint("merge"), "cell").groupBy("query", "part").agg(F.collect_set("id").alias("ids"))
-    asks = asks.hint("merge").join(queries.select(F.col("id").alias("query"), "x"), "query").select("part", F.col("query").alias("id"), "ids", "x")
+    small = lambda df, rows: F.broadcast(df) if C.fits(df, rows) else df.hint("merge")
+    queries = C.materialize(queries, "query-vectors")
+    probes = C.materialize(queries.repartition(shuffles, "id").mapInArrow(probe, "query long, cell int"), "probes")
+    asks = codes.join(small(probes, BROADCAST_PROBES), "cell").groupBy("query", "part").agg(F.collect_set("id").alias("ids"))
+    known = small(queries.select(F.col("id").alias("query"), "x"), max(1, BROADCAST_NUMBERS // dim))
+    asks = asks.join(known, "query").select("part", F.col("query").alias("id"), "ids", "x")
     best = _best(_blocks(spark, index, asks, n_parts, k), k)
     best = C.materialize(best, "neighbours")
 
@@ -211,7 +216,7 @@ def _search(rows: DataFrame, dim: int, every: int, k: int, tables: int, budget:
     out = out.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     result = out.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-    C.release(codes)
+    C.release(codes, probes)
     return result
 
 

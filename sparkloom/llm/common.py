@@ -57,16 +57,23 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def pieces(batch: pa.RecordBatch, column: str | int = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of up to ``limit`` bytes of one column; a longer value is a slice of its own."""
+    """A batch in parts of up to ``limit`` bytes of one column; a longer value is a part of its own.
+
+    Parts are copies, not slices: some of pyarrow's kernels (lower case of ASCII after a cast) misread slices.
+    """
+
+    def part(a: int, b: int) -> pa.RecordBatch:
+        return batch if (a, b) == (0, batch.num_rows) else batch.take(pa.array(np.arange(a, b)))
+
     size = pc.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     a, held = 0, 0
     for k, n in enumerate(size.tolist()):
         if held and held + n > limit:
-            yield batch.slice(a, k - a)
+            yield part(a, k)
             a, held = k, 0
         held += n
     if a < batch.num_rows:
-        yield batch.slice(a)
+        yield part(a, batch.num_rows)
 
 
 def stretches(text: bytes, limit: int = 1 << 20, at: bytes = b"\n ", hard: bool = False) -> Iterator[bytes]:

@@ -7,6 +7,11 @@ window is then compared, and values must fill an item's slots consistently.
 Both sides list all of their windows, so that an item is met wherever it starts, also one of a single window. Tokens are
 hashed once and windows are hashes of their tokens' hashes. Windows of mostly placeholders say little as templates;
 they are compared with their values and count beside the others, so that a verbatim copy of numbers is found.
+
+Values fill slots one to one: on a diagonal of matching windows, an item's value always meets the same value of the
+document, and the other way round; templates of a diagonal that breaks this do not count.
+
+Items of fewer than MIN_TOKENS tokens say nothing about a document; they are not looked for, too_short() lists them.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from . import common as C
 WINDOW = 8
 #: Share of an item's windows that a document must hold; plain tokens that a window must have to count as a template.
 COVERAGE, PLAIN = 0.6, 4
+#: Tokens that an item must have to be looked for.
+MIN_TOKENS = 2
 #: Benchmark windows (about 100 bytes each) and candidate documents (16 bytes each) up to these counts are broadcast.
 BROADCAST_WINDOWS, BROADCAST_DOCS = 300_000, 1_000_000
 
@@ -28,17 +35,28 @@ _UNITS = (
     "kilometers|kilometres|meters|metres|centimeters|centimetres|miles|feet|inches|km|cm|mm|m|ft|mi|kilograms|grams|pounds|ounces|kg|mg|g|lb|lbs|oz|"
     "liters|litres|gallons|ml|l|seconds|minutes|hours|days|weeks|months|years|ms|s|min|h|dollars|cents|euros|usd|eur|percent|degrees|mph|kmh|kb|mb|gb|tb"
 )
+#: Words that often begin a sentence and are no names, in English, French, German and Spanish (fixed values).
+_STARTERS = (
+    "a|about|after|all|an|and|are|as|at|before|both|but|by|can|do|does|during|each|every|find|for|from|give|given|had|has|have|he|her|here|his|how|i|if|in|into|is|it|its|"
+    "let|many|my|no|not|now|of|on|one|only|or|our|over|she|since|so|some|than|that|the|their|then|there|these|they|this|those|to|two|under|until|was|we|were|what|when|where|"
+    "which|while|who|whose|why|will|with|you|your|"
+    "au|aux|avec|ce|cette|ces|chaque|dans|de|des|du|elle|en|est|et|il|ils|la|le|les|mais|ne|nous|on|ou|par|pas|pour|que|quel|quelle|qui|sa|se|si|son|sont|sur|un|une|vous|"
+    "aber|als|am|an|auch|auf|aus|bei|das|dem|den|der|die|durch|ein|eine|einem|einen|einer|er|es|ich|ihr|im|ist|mit|nach|nicht|oder|sie|sind|und|von|vor|was|wenn|wer|wie|wir|wo|zu|"
+    "al|cada|como|con|cual|cuando|del|donde|el|ella|es|esta|este|la|las|lo|los|no|para|pero|por|que|se|si|sin|su|sus|un|una|y"
+)
 
 
 def tokens(text: Column, values: bool) -> Column:
     """Template tokens of a text; with values, a placeholder is followed by what it stands for.
 
-    Names are capitalised words after a lower-case letter, digit or comma and one blank; units follow a number.
+    Names are capitalised words after a lower-case letter, digit or comma and one blank, and at the start of a text or
+    sentence, unless they are words that often begin one; units follow a number.
     """
     v = (lambda group: f"${group}") if values else (lambda group: "")
     t = F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT + POINT, "")
     t = F.regexp_replace(t, r"[.,:/](?<=\p{Nd}[.,:/])(?=\p{Nd})", POINT)
     t = F.regexp_replace(t, r"(\p{Lu})(?<=[\p{Ll}\p{Nd},;][ \n]\p{Lu})(\p{Ll}+)", f"{NAME}{v(1)}{v(2)}")
+    t = F.regexp_replace(t, rf"(?=\p{{Lu}})(?<=^|[.!?\n]|[.!?\n][ \n])(?!(?i:{_STARTERS})(?!\p{{Ll}}))(\p{{Lu}})(\p{{Ll}}+)", f"{NAME}{v(1)}{v(2)}")
     t = F.regexp_replace(t, rf"(?i)(\p{{Nd}}) ?({_UNITS})(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}{v(2)}")
     t = F.regexp_replace(t, rf"(\p{{Nd}}[\p{{Nd}}{POINT}]*)", f" {NUMBER}{v(1)} ")
     return F.filter(F.split(F.lower(t), rf"[^\p{{L}}\p{{N}}{NUMBER}-{POINT}]+"), lambda x: x != "")
@@ -76,14 +94,20 @@ def _with_hash(df: DataFrame, window: str) -> DataFrame:
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item_id, q, w, exact, hash, item): the windows of every item, materialised. An item shorter than the window is
-    one window of its own length; windows of mostly placeholders are exact; items without tokens have none."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text"), True).alias("tokens")).filter("item_id is not null and size(tokens) > 0")
+    one window of its own length; windows of mostly placeholders are exact; items that are too short have none."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text"), True).alias("tokens")).filter(F.col("item_id").isNotNull() & (F.size("tokens") >= MIN_TOKENS))
     items = items.withColumn("w", F.least(F.lit(window), F.size("tokens")))
     rows = items.select("item_id", "w", "tokens", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("w"))).alias("q"))
     rows = rows.select("item_id", "q", "w", F.slice("tokens", F.col("q") + 1, F.col("w")).alias("item"))
     return C.materialize(_with_hash(rows, "item").select("item_id", "q", "w", "exact", "hash", "item"), "benchmark-windows")
 
 
+def too_short(benchmark: DataFrame) -> DataFrame:
+    """(item_id, n_tokens) of the items that are not looked for, with a null item_id or under MIN_TOKENS tokens."""
+    n = F.size(tokens(F.col("text"), True))
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), n.alias("n_tokens")).filter(F.col("item_id").isNull() | (F.col("n_tokens") < MIN_TOKENS))
+
+
 def _hashes(widths: list[int], exact: set[int]) -> Column:
     """Hashes of all windows, from the hashes of the tokens: plain, and for exact widths own (with values) and held (1 for a placeholder)."""
     at = lambda c, i, w: [F.get(c, i + k) for k in range(w)]  # noqa: E731; slice() copies the whole array for every window
@@ -96,7 +120,7 @@ def _hashes(widths: list[int], exact: set[int]) -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, t (hash of the text), item_id, n_windows, n_found, coverage: documents that hold enough of an item.
 
-    Null texts and items hold nothing; null item_ids are left out; a null doc_id is reported as null. Rows that repeat
+    Null texts and items hold nothing; null item_ids and items that are too short are left out; a null doc_id is reported as null. Rows that repeat
     doc_id and text are reported once. Either table may be empty.
     """
     bench = benchmark_windows(benchmark, window)
@@ -127,7 +151,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
 
     line = ["doc_id", "t", "item_id", "diagonal"]
     filled = met.select(*line, F.explode("slots").alias("s")).groupBy(*line, F.col("s.item").alias("slot")).agg(F.min("s.own").alias("a"), F.max("s.own").alias("b"))
-    bad = filled.filter("a <> b").select(*[F.col(c).alias(f"bad_{c}") for c in line]).distinct()
+    taken = met.select(*line, F.explode("slots").alias("s")).groupBy(*line, F.col("s.own").alias("slot")).agg(F.min("s.item").alias("a"), F.max("s.item").alias("b"))
+    bad = filled.unionByName(taken).filter("a <> b").select(*[F.col(c).alias(f"bad_{c}") for c in line]).distinct()
     same = [met[c].eqNullSafe(F.col(f"bad_{c}")) for c in line]
     good = met.join(bad, same, "left").filter(F.col("bad_t").isNull() | (F.size("slots") == 0))
     # an item is held by its templates alone, as with other values, or by all windows, as in a verbatim copy

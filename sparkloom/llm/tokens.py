@@ -103,6 +103,8 @@ class Encoder:
             return [np.array([*e.ids, self.end_id], self.dtype) for e in found]
         if len(self.rows) > CACHED_WORDS:
             self.forget()
+        if texts.offset:  # kernels below misread slices
+            texts = texts.take(pa.array(np.arange(len(texts))))
         t = pc.replace_substring(pc.ascii_lower(texts.cast(pa.large_string())), "\n", " ")
         words = pc.split_pattern(pc.replace_substring_regex(t, r"([a-z])([.,!?;:%&$#*])", r"\1 \2"), " ")
         flat = words.flatten().dictionary_encode()

@@ -51,7 +51,7 @@ def stretched(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
         return
     for k, n in enumerate(size.tolist()):
         if n <= STRETCH:
-            yield texts.slice(k, 1), np.array([k])
+            yield texts.take(pa.array([k])), np.array([k])
         else:
             for part in C.stretches(texts[k].as_py().encode(), STRETCH):
                 yield pa.array([part.decode()]), np.array([k])

@@ -1,5 +1,7 @@
+import random
 import re
 
+import regex
 from conftest import DATA
 from pyspark.sql import functions as F
 from sparkloom.llm import decontaminate as D
@@ -81,3 +83,112 @@ def test_numbers_are_met_with_their_values(spark):
     got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     # 2: four of the first item's five windows; 6: most windows, but none of the few templates; 7: templates with other values
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (2, 1), (4, 2), (6, 3), (7, 3)]
+
+
+def py_tokens(text):
+    """The tokens with values, by another regular expression engine."""
+    t = regex.sub(f"[{D.NUMBER}{D.NAME}{D.UNIT}{D.POINT}]", "", text or "")
+    t = regex.sub(r"(?<=\p{Nd})[.,:/](?=\p{Nd})", D.POINT, t)
+    t = regex.sub(r"(?<=[\p{Ll}\p{Nd},;][ \n])(\p{Lu}\p{Ll}+)", D.NAME + r"\1", t)
+    starter = set(D._STARTERS.split("|"))
+    first = lambda m: m[0] if regex.match(r"\p{Lu}\p{Ll}*", m[0])[0].lower() in starter else D.NAME + m[0]
+    t = regex.sub(r"(?<=^|[.!?\n]|[.!?\n][ \n])(\p{Lu}\p{Ll}+)", first, t)
+    t = regex.sub(rf"(?i)(\p{{Nd}}) ?({D._UNITS})(?![\p{{L}}\p{{N}}])", rf"\1 {D.UNIT}\2", t)
+    t = regex.sub(rf"(\p{{Nd}}[\p{{Nd}}{D.POINT}]*)", rf" {D.NUMBER}\1 ", t)
+    return [x for x in regex.split(rf"[^\p{{L}}\p{{N}}{D.NUMBER}-{D.POINT}]+", t.lower()) if x]
+
+
+def py_contaminated(docs, items, window=8, coverage=0.6):
+    """The whole method over all pairs of windows, item by item."""
+    held = lambda x: x[0] in (D.NUMBER, D.NAME, D.UNIT)
+    bare = lambda w: tuple(x[0] if held(x) else x for x in w)
+    out = set()
+    prepared = []
+    for k, text in items:
+        t = py_tokens(text)
+        if len(t) < D.MIN_TOKENS:
+            continue
+        w = min(window, len(t))
+        wins = []
+        for q in range(len(t) - w + 1):
+            own = tuple(t[q : q + w])
+            exact = w - sum(map(held, own)) < min(D.PLAIN, -(-w // 2))
+            wins.append((q, own, exact))
+        prepared.append((k, w, wins))
+    for d, text in docs:
+        t = py_tokens(text)
+        at = {}
+        for w in {w for _, w, _ in prepared}:
+            for p in range(len(t) - w + 1):
+                own = tuple(t[p : p + w])
+                at.setdefault((w, bare(own)), []).append((p, own))
+        for k, w, wins in prepared:
+            met = [(q, p, exact, item, own) for q, item, exact in wins for p, own in at.get((w, bare(item)), ()) if not exact or own == item]
+            slots = {}
+            for q, p, exact, item, own in met:
+                if not exact:
+                    slots.setdefault(p - q, set()).update((a, b) for a, b in zip(item, own, strict=True) if held(a))
+            bad = {x for x, pairs in slots.items() if len({a for a, _ in pairs}) < len(pairs) or len({b for _, b in pairs}) < len(pairs)}
+            good = [(q, exact) for q, p, exact, item, _ in met if exact or p - q not in bad or not any(map(held, item))]
+            n_t, n_all = sum(not e for _, _, e in wins), len(wins)
+            f_t, f_all = len({q for q, e in good if not e}), len({q for q, _ in good})
+            share = f_t / n_t if n_t and f_t / n_t >= coverage else f_all / n_all
+            if share >= coverage:
+                out.add((d, k))
+    return out
+
+
+def found(docs, bench):
+    return {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench).collect()}
+
+
+def test_whole_method_against_brute_force(spark):
+    docs, bench = (spark.read.parquet(f"{DATA}/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    rows, items = [(r["doc_id"], r["text"]) for r in docs.collect()], [(r["item_id"], r["text"]) for r in bench.collect()]
+    want = py_contaminated(rows, items)
+    assert want and found(docs, bench) == want
+
+
+def test_altered_items_against_brute_force(spark):
+    """Items with numbers, names and units in documents, their values changed in many ways."""
+    rng = random.Random(9)
+    plain = "buys sells carries wants keeps sees near under with without green large apples boats bags roads before after noon today".split()
+    names, units = ["Anna", "Tom", "Carol", "Bob"], ["km", "kg", "hours", "m"]
+
+    def item():
+        out = []
+        for _ in range(rng.randint(2, 24)):
+            u = rng.random()
+            out.append(str(rng.randint(1, 9)) if u < 0.15 else rng.choice(names) if u < 0.3 else f"{rng.randint(1, 9)} {rng.choice(units)}" if u < 0.4 else rng.choice(plain))
+        return " ".join(out)
+
+    items = [(k, item()) for k in range(40)] + [(40, "yes"), (41, None), (None, "a b c d e f")]
+    docs = []
+    for k in range(400):
+        t = items[k % 40][1]
+        for _ in range(rng.randint(0, 3)):
+            a, b = rng.choice([(names, names), ("123456789", "123456789"), (units, units), (plain, plain)])
+            t = t.replace(rng.choice(a), rng.choice(b), rng.choice([1, 9]))
+        docs.append((k, rng.choice(["", "Some words. ", "yes, "]) + t + rng.choice([" and so on", ". Anna left", ""])))
+    got = found(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got == py_contaminated(docs, [x for x in items if x[0] is not None])
+    short = D.too_short(spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["item_id"], r["n_tokens"]) for r in short} == {(40, 1), (41, 0), (None, 6)}
+
+
+def test_names_at_sentence_starts_and_one_to_one_slots(spark):
+    items = [(1, "Anna has 3 apples and buys 12 more apples today"), (2, "two boats leave at 4 and at 9 from the old harbour")]
+    docs = [
+        (1, "Tom has 7 apples and buys 15 more apples today"), (2, "Well. Tom has 7 apples and buys 15 more apples today."), (3, "Tom has 7 apples and buys 7 more apples today"),
+        (4, "two boats leave at 5 and at 8 from the old harbour"), (5, "two boats leave at 5 and at 5 from the old harbour"), (6, "yes. The apples are more today"),
+    ]
+    got = found(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got == {(1, 1), (2, 1), (4, 2)}
+
+
+def test_verbatim_items_of_every_short_length_at_every_offset(spark):
+    words = [f"{a}{b}ling" for a in "bdfgklmnprst" for b in "aeo"]
+    items = [(n, " ".join(words[n : 2 * n])) for n in range(3, 13)]
+    docs = [(100 * n + k, "so " * k + t + " end of it") for n, t in items for k in range(9)]
+    got = found(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(100 * n + k, n) for n, _ in items for k in range(9)} <= got

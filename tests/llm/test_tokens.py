@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -81,3 +82,27 @@ def test_damaged_record_is_refused(spark, tmp_path):
         bad[k] ^= 1
         with pytest.raises(ValueError):
             tokens.payloads(bytes(bad), entries, 0)
+
+
+def test_parts_of_batches_and_slices(spark):
+    """Parts by bytes keep rows whole and in order; slices of arrays encode as the texts they hold."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(["ab", "\u00e9\u00e7", "Zed.", " ", "\n", "\u00f1and\u00fa,"], k=rng.randint(0, 40))) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(C.pieces(batch, limit=300))
+    assert len(parts) > 3 and [x for p in parts for x in p.column("text").to_pylist()] == texts
+    assert all(p.num_rows == 1 or sum(len(x.encode()) for x in p.column("text").to_pylist()) <= 300 for p in parts)
+    enc = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"), 2)
+    whole = [x.tolist() for x in enc.encode(pa.array(texts))]
+    assert [x.tolist() for x in enc.encode(pa.array(texts).slice(7, 20))] == whole[7:27]
+    assert [x.tolist() for p in parts for x in enc.encode(p.column("text"))] == whole
+
+
+def test_long_texts_are_encoded_by_stretches(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "LONG", 200)
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(6)
+    text = "".join(rng.choices(["word", "\u00e9t\u00e9", "Zed.", " ", "\n", "12", ",", "\u00df"], k=3000))
+    enc = tokens.Encoder(path, 2)
+    assert enc.encode(pa.array([text]))[0].tolist() == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
