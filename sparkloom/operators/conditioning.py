@@ -101,3 +101,10 @@ def paste_back(x: Column, original: Column, mask: Column) -> Column:
 def in_interval(sigma: Column, low: float, high: float) -> Column:
     """Whether guidance or an adapter is on at a noise level."""
     return sigma.between(low, high)
+
+
+def profile_range(df: DataFrame, length: Column, low: int, high: int) -> tuple[DataFrame, DataFrame]:
+    """(kept, skipped): rows whose length an engine's profile covers, both ends included, and the others; a null length
+    is skipped."""
+    ok = F.coalesce(length.between(low, high), F.lit(False))
+    return df.filter(ok), df.filter(~ok)

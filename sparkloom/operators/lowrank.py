@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -79,3 +79,14 @@ def select_adapters(adapters: DataFrame, keep: list[str] | None = None, remove:
 
 def adapter_count(adapters: DataFrame) -> DataFrame:
     return adapters.agg(F.count_distinct("adapter").alias("n_adapters"))
+
+
+def magnitude_variant(name: Column, shape: Column) -> Column:
+    """What a magnitude tensor scales: 'dora-cols' for (1, n), 'dora-rows' for (n, 1), else null."""
+    two = F.endswith(name, F.lit(".magnitude")) & (F.size(shape) == 2)
+    return F.when(two & (F.get(shape, F.lit(0)) == 1), "dora-cols").when(two & (F.get(shape, F.lit(1)) == 1), "dora-rows")
+
+
+def squeezed(shape: Column) -> Column:
+    """A shape without the places of length 1."""
+    return F.filter(shape, lambda n: n != 1)

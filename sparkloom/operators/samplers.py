@@ -5,10 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import arrays as A
+from ..functions import schedules as S
+from .conditioning import mix_init
 
 Model = Callable[[np.ndarray, np.ndarray], np.ndarray]
+#: Called in the worker after each step with i, x, t, sigma and denoised of the rows that are advanced together.
+Callback = Callable[[dict], None]
 
 
 def toy_model(x: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -62,8 +70,24 @@ def ping_pong(model: Model, x: np.ndarray, t: np.ndarray, rng: list | None = Non
 SAMPLERS = {"euler": euler, "rk4": rk4, "dpmpp": dpmpp, "pingpong": ping_pong}
 
 
-def sample(df: DataFrame, how: str = "euler", model: Model = toy_model, seed: int = 0) -> DataFrame:
-    """(id, x): rows of one width and schedule length are advanced together; noise follows from seed and id."""
+def _watched(model: Model, callback: Callback) -> Model:
+    """A model that reports the first look at every noise level."""
+    step, last = 0, None
+
+    def look(x: np.ndarray, t: np.ndarray) -> np.ndarray:
+        nonlocal step, last
+        v = model(x, t)
+        if last is None or (t < last).all():
+            callback({"i": step, "x": x, "t": t, "sigma": t, "denoised": x - t[:, None] * v})
+            step, last = step + 1, t
+        return v
+
+    return look
+
+
+def sample(df: DataFrame, how: str = "euler", model: Model = toy_model, seed: int = 0, callback: Callback | None = None) -> DataFrame:
+    """(id, x): rows of one width and schedule length are advanced together; noise follows from seed and id. A callback
+    sees each noise level the model is asked about, the midpoints of rk4 among them."""
     run = SAMPLERS[how]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +102,8 @@ def sample(df: DataFrame, how: str = "euler", model: Model = toy_model, seed: in
                 shapes.setdefault((len(x[k]), len(t[k])), []).append(k)
             for rows in shapes.values():
                 rng = [np.random.default_rng([seed, int(ids[k])]) for k in rows]
-                y = run(model, np.array([x[k] for k in rows]), np.array([t[k] for k in rows]), rng)
+                asked = model if callback is None else _watched(model, callback)
+                y = run(asked, np.array([x[k] for k in rows]), np.array([t[k] for k in rows]), rng)
                 for k, v in zip(rows, y, strict=True):
                     out[k] = v.tolist()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.float64()))], names=["id", "x"])
@@ -86,19 +111,50 @@ def sample(df: DataFrame, how: str = "euler", model: Model = toy_model, seed: in
     return df.select(df["id"].cast("long").alias("id"), "x", "t").mapInArrow(step, "id long, x array<double>")
 
 
-def couple(cost: np.ndarray, rounds: int = 20, softness: float = 0.05) -> np.ndarray:
-    """A one-to-one assignment (column for each row) from entropic transport: scaled rows and columns in turn, then the
-    largest cells first."""
-    k = np.exp(-(cost - cost.min()) / (softness * max(float(cost.max() - cost.min()), 1e-12)))
-    u, v = np.ones(len(k)), np.ones(k.shape[1])
-    for _ in range(rounds):
-        u = 1 / np.maximum(k @ v, 1e-300)
-        v = 1 / np.maximum(k.T @ u, 1e-300)
-    plan = u[:, None] * k * v
-    out = np.full(len(plan), -1)
-    taken = np.zeros(plan.shape[1], bool)
-    for cell in np.argsort(-plan, axis=None, kind="stable"):
-        r, c = divmod(int(cell), plan.shape[1])
-        if out[r] < 0 and not taken[c]:
-            out[r], taken[c] = c, True
+def generate(df: DataFrame, steps: int, width: int, rate: int, ratio: int, how: str = "euler", shift=S.log_snr, headroom: float = 5.0, sigma_max: float = 1.0, model: Model = toy_model, decode: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(id, x, valid) of requests (id, noise, init, seconds_total): a run from noise to decoded signal.
+
+    The schedule is shifted by the effective length, the one of seconds_total (the row's width where that is null). An
+    init (null: none) is mixed with the noise at ``sigma_max``, from where its schedule then starts. After sampling and
+    decoding, everything beyond the valid length, that of seconds_total plus headroom, is zero; a decoder returns
+    ``ratio`` samples for each latent frame.
+    """
+    length = F.coalesce(A.latent_length(F.col("seconds_total"), rate, ratio), F.lit(width))
+    valid = F.least(F.coalesce(A.latent_length(F.col("seconds_total"), rate, ratio) + int(headroom * rate / ratio), F.lit(width)), F.lit(width))
+    varied = F.col("init").isNotNull()
+    rows = df.select("id", valid.alias("valid"), F.when(varied, mix_init(F.col("init"), F.col("noise"), sigma_max)).otherwise(F.col("noise")).alias("x"), F.when(varied, S.schedule(steps, length, shift, sigma_max)).otherwise(S.schedule(steps, length, shift)).alias("t"))
+    done = sample(rows, how, model).join(rows.select(F.col("id").cast("long").alias("id"), "valid"), "id")
+    x = decode(F.col("x")) if decode else F.col("x")
+    end = F.col("valid") * (ratio if decode else 1)
+    return done.select("id", F.transform(x, lambda v, i: F.when(i < end, v).otherwise(0.0)).alias("x"), "valid")
+
+
+def couple(cost: np.ndarray, rounds: int = 20) -> np.ndarray:
+    """A one-to-one assignment (column for each row): entropic transport at the scale of the mean cost, rows and columns
+    normalised in turn in logarithms, then for each row in turn the best column that is left."""
+    score = -cost / max(float(np.mean(cost)), 1e-12)
+    for k in range(2 * rounds):
+        axis = 1 - k % 2
+        top = score.max(axis, keepdims=True)
+        score = score - top - np.log(np.exp(score - top).sum(axis, keepdims=True))
+    out, free = np.empty(len(score), int), np.ones(score.shape[1], bool)
+    for r, row in enumerate(score):
+        out[r] = np.where(free, row, -np.inf).argmax()
+        free[out[r]] = False
     return out
+
+
+def couple_batches(df: DataFrame, batch: str, key: str, x: str, z: str) -> DataFrame:
+    """(batch, key, z): in each batch the noise rows z dealt anew to the data rows x, for straighter paths.
+
+    A batch is a training batch, of a size that one task holds; its rows are taken in the order of the key."""
+    from pyspark.sql.types import ArrayType, DoubleType, StructType
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(key, kind="stable")
+        a, b = (np.array(pdf[c].tolist(), float).reshape(len(pdf), -1) for c in (x, z))
+        cost = np.square(a).sum(1)[:, None] + np.square(b).sum(1)[None] - 2 * a @ b.T
+        return pd.DataFrame({batch: pdf[batch], key: pdf[key], z: [b[k].tolist() for k in couple(cost)]})
+
+    out = StructType([df.schema[batch], df.schema[key]]).add(z, ArrayType(DoubleType()))
+    return df.select(batch, key, x, z).groupBy(batch).applyInPandas(run, out)

@@ -231,6 +231,38 @@ def rk4_sampler(spark, d):
     return _sampled(spark, d, "rk4")
 
 
+_LEN = "ceil(floor((vec_id % 30) / 10.0 * 16) / 1.0)"
+
+
+@query(f"""
+WITH e AS (SELECT vec_id, {VEC} AS x, CASE WHEN vec_id % 4 = 0 THEN 64 ELSE {_LEN} END AS n, CASE WHEN vec_id % 4 = 0 THEN 64 ELSE least({_LEN} + 8, 64) END AS valid FROM embeddings),
+t AS (SELECT vec_id, k, CASE WHEN vec_id % 3 = 0 THEN 0.8 ELSE 1.0 END AS m, 2.0 - (-6.2 - log2(greatest(n, 1) / 2000.0)) AS span FROM e, range(0, 9) r(k)),
+u AS (SELECT vec_id, k, CASE WHEN k = 0 THEN m WHEN k = 8 THEN 0.0 ELSE CASE WHEN m * (1 - k / 8.0) >= 1 THEN 1.0 ELSE 1 / (1 + exp(2.0 - m * (1 - k / 8.0) * span)) END END AS t FROM t),
+f AS (SELECT a.vec_id, exp(sum(ln(1 + (b.t - a.t) / (1 + a.t)))) AS f FROM u a JOIN u b ON b.vec_id = a.vec_id AND b.k = a.k + 1 GROUP BY a.vec_id)
+SELECT vec_id AS id, valid::INTEGER AS valid, round(f * list_sum(list_transform(range(1, 65), lambda i: CASE WHEN i <= valid THEN i * CASE WHEN vec_id % 3 = 0 THEN 0.2 * x[65 - i] + 0.8 * x[i] ELSE x[i] END ELSE 0 END)), 4) AS x
+FROM e JOIN f USING (vec_id)""")
+def generation_run(spark, d):
+    """From noise, with or without an init, over a schedule of the effective length to a signal that ends in zeros."""
+    from ..operators.samplers import generate
+
+    x, k = F.col("embedding").cast("array<double>"), F.col("vec_id")
+    rows = _t(spark, d, "embeddings").select(k.alias("id"), x.alias("noise"), F.when(k % 3 == 0, F.reverse(x)).alias("init"), F.when(k % 4 != 0, k % 30 / 10).alias("seconds_total"))
+    return generate(rows, 8, 64, 16, 1, headroom=0.5, sigma_max=0.8).select("id", "valid", _r(_w(F.col("x")), "x", 4))
+
+
+@query("""
+SELECT doc_id, n_chars BETWEEN 500 AND 4000 AS covered, CASE WHEN doc_id % 3 = 2 THEN NULL WHEN doc_id % 3 = 0 THEN 'dora-cols' ELSE 'dora-rows' END AS variant, CASE WHEN doc_id % 3 = 2 THEN 2 ELSE 1 END::INTEGER AS rank FROM documents""")
+def engine_profiles(spark, d):
+    """Lengths that a profile covers, and magnitude tensors by shape."""
+    from ..operators import lowrank as L
+
+    k = F.col("doc_id")
+    docs = _t(spark, d, "documents").withColumn("shape", F.when(k % 3 == 0, F.array(F.lit(1), F.lit(8))).when(k % 3 == 1, F.array(F.lit(8), F.lit(1))).otherwise(F.array(F.lit(8), F.lit(8))))
+    kept, skipped = K.profile_range(docs, F.col("n_chars"), 500, 4000)
+    both = kept.withColumn("covered", F.lit(True)).unionByName(skipped.withColumn("covered", F.lit(False)))
+    return both.select("doc_id", "covered", L.magnitude_variant(F.lit("blocks.0.magnitude"), F.col("shape")).alias("variant"), F.size(L.squeezed(F.col("shape"))).alias("rank"))
+
+
 _SNR = "ln(greatest(1 - {0}, 1e-10) / greatest({0}, 1e-10))"
 
 

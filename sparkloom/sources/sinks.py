@@ -12,13 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.windows import pack
-
-
-def _open(path: str):
-    from pyarrow import fs
-
-    system, local = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-    return system, local
+from ..storage import filesystem as _open
 
 
 def write_pairs(df: DataFrame, path: str, per_batch: int) -> None:
@@ -38,19 +32,23 @@ def write_shards(df: DataFrame, path: str, per_shard: int, prefix: str = "") ->
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, buf, tar, count = None, None, None, 0
+        now, out, tar, count = None, None, None, 0
 
-        def close() -> list[tuple]:
-            tar.close()
+        def begin() -> tuple:
             split, shard = now
             target = f"{path}/{split}/{prefix}shard-{shard:06d}.tar"
             system, local = _open(target)
             system.create_dir(local.rpartition("/")[0], recursive=True)
             aside = f"{local}.{uuid.uuid4().hex}"
-            with system.open_output_stream(aside, compression=None) as f:
-                f.write(buf.getbuffer())
+            stream = system.open_output_stream(aside, compression=None)
+            return system, target, local, aside, stream
+
+        def close() -> list[tuple]:
+            tar.close()
+            system, target, local, aside, stream = out
+            stream.close()
             system.move(aside, local)
-            return [(split, shard, target, count)]
+            return [(*now, target, count)]
 
         for pdf in frames:
             done: list[tuple] = []
@@ -58,8 +56,9 @@ def write_shards(df: DataFrame, path: str, per_shard: int, prefix: str = "") ->
                 if (split, shard) != now:
                     if tar:
                         done += close()
-                    now, buf, count = (split, shard), io.BytesIO(), 0
-                    tar = tarfile.open(fileobj=buf, mode="w")
+                    now, count = (split, shard), 0
+                    out = begin()
+                    tar = tarfile.open(fileobj=out[-1], mode="w|")  # written as it grows, not held
                 for ext, data in sorted(dict(members).items()):
                     info = tarfile.TarInfo(f"{key}.{ext}")
                     info.size = len(data)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions import draws as D
 from ..storage import shared_root
 
 
@@ -130,6 +133,39 @@ def encode_stream(chunks: DataFrame, encode: Callable[[pd.DataFrame], pd.DataFra
     return chunks.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/log").trigger(availableNow=True).start()
 
 
+def resampled_stream(df: DataFrame, key: str, per_second: int, seed: int = 0) -> DataFrame:
+    """An endless stream of draws with replacement: draw, epoch and all columns. An epoch is as many draws as df has
+    rows; every draw follows from its number."""
+    n = df.count()
+    draws = df.sparkSession.readStream.format("rate").option("rowsPerSecond", per_second).load().select(F.col("value").alias("draw"))
+    place = F.least(F.floor(D.uniform(F.col("draw"), f"{seed}.draw") * n), F.lit(n - 1)).cast("long")
+    return draws.withColumns({"epoch": F.floor(F.col("draw") / max(n, 1)), "__n": place}).join(D.numbered(df, key), "__n").drop("__n")
+
+
+class Telemetry(StreamingQueryListener):
+    """The last progress of each query, kept at most once in ``every`` seconds; ends and failures are always kept."""
+
+    def __init__(self, every: float = 5.0):
+        self.every, self.last, self._at = every, {}, {}
+
+    def onQueryStarted(self, event) -> None:
+        self.last[str(event.id)] = {"state": "started", "name": event.name}
+
+    def onQueryProgress(self, event) -> None:
+        p, now = event.progress, time.monotonic()
+        key = str(p.id)
+        if now - self._at.get(key, -self.every) >= self.every:
+            self._at[key] = now
+            self.last[key] = {"state": "running", "name": p.name, "batch": p.batchId, "rows": p.numInputRows, "rows_per_second": p.processedRowsPerSecond}
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        key = str(event.id)
+        self.last[key] = {**self.last.get(key, {}), "state": "failed" if event.exception else "ended", "error": event.exception}
+
+
 def micro_batches(df: DataFrame, keys: list[str], order: str, size: int, idle: Column | None = None) -> DataFrame:
     """df with batch: groups of at most ``size`` rows in order; where ``idle`` holds, a new group begins."""
     w = Window.partitionBy(*keys).orderBy(order)

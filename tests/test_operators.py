@@ -286,3 +286,47 @@ def test_running_sums_against_a_window(spark):
         acc += v
         total += acc
     assert (int(got[0]), got[1]) == (total, acc)
+
+
+def test_coupling_callback_and_nested_update(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(6, 3))
+    cost = np.square(x[:, None] - x[None, ::-1]).sum(2)
+    assert samplers.couple(cost).tolist() == [5, 4, 3, 2, 1, 0]
+    rows = [(b, k, x[k].tolist(), x[5 - k].tolist()) for b in (0, 1) for k in range(6)]
+    got = samplers.couple_batches(spark.createDataFrame(rows, "batch int, key int, x array<double>, z array<double>"), "batch", "key", "x", "z").collect()
+    assert len(got) == 12 and all(np.allclose(r["z"], x[r["key"]]) for r in got)
+    seen = []
+    look = samplers._watched(samplers.toy_model, seen.append)
+    t = np.linspace(1, 0, 5)[None].repeat(2, 0)
+    samplers.euler(look, x[:2], t)
+    assert [s["i"] for s in seen] == [0, 1, 2, 3] and np.allclose(seen[1]["denoised"], seen[1]["x"] - 0.75 * samplers.toy_model(seen[1]["x"], seen[1]["t"]))
+    base = {"a": {"b": 1, "c": [1]}, "d": 2}
+    out = T.nested_update(base, {"a": {"b": 5}, "e": {"f": 1}})
+    assert out == {"a": {"b": 5, "c": [1]}, "d": 2, "e": {"f": 1}} and base == {"a": {"b": 1, "c": [1]}, "d": 2} and out["a"]["c"] is not base["a"]["c"]
+
+
+def test_resampled_stream_and_telemetry(spark, tmp_path):
+    from sparkloom.streaming import etl
+
+    df = spark.range(50).withColumn("v", F.col("id") * 2)
+    watch = etl.Telemetry(0.0)
+    spark.streams.addListener(watch)
+    stream = etl.resampled_stream(df, "id", 200)
+    q = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/log").start()
+    import time
+
+    for _ in range(60):
+        time.sleep(0.5)
+        if q.lastProgress and any(p["numInputRows"] > 0 for p in q.recentProgress):
+            break
+    q.stop()
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    want = {r["draw"]: r["id"] for r in D.resample(df, "id", 500).collect()}
+    assert rows and all(r["v"] == 2 * r["id"] and r["epoch"] == r["draw"] // 50 and want.get(r["draw"], r["id"]) == r["id"] for r in rows)
+    for _ in range(20):
+        if watch.last.get(str(q.id), {}).get("state") == "ended":
+            break
+        time.sleep(0.5)
+    spark.streams.removeListener(watch)
+    assert watch.last[str(q.id)]["state"] == "ended"
