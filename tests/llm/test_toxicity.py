@@ -1,5 +1,9 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
+import regex
 from conftest import DATA
 from sparkloom.llm import toxicity as T
 
@@ -62,3 +66,75 @@ def test_finds_toxic_documents(spark):
     false = np.mean([g["toxic"] for t, g in held if not t])
     assert found >= 0.92 and false <= 0.005, (found, false)
     assert all(0 <= g["severity"] <= 3 for _, g in held)
+
+
+def plain_fit(docs, labels):
+    """The model by dictionaries and dense arrays: (weights by feature, thresholds)."""
+    rows = [(regex.findall(r"\p{L}+", docs[d].lower()), y) for d, y in labels if d in docs]
+    n = Counter(y for _, y in rows)
+    seen = {0: Counter(), 1: Counter()}
+    for words, y in rows:
+        seen[y].update({f for w in words for f in T.features(w)})
+
+    def chi(f):
+        a, b = seen[0][f], seen[1][f]
+        p, q = n[0] - a, n[1] - b
+        return (a * q - b * p) * (a * q - b * p) * (n[0] + n[1]) / (n[0] * n[1] * (a + b) * max(p + q, 1.0))
+
+    names = sorted((f for f in seen[1] if seen[1][f] >= T.MIN_DOCS), key=lambda f: (-chi(f), f.encode()))[: T.VOCABULARY]
+    place = {f: k for k, f in enumerate(names)}
+    marks = {f for f in names if seen[1][f] / n[1] / (seen[0][f] / n[0] + seen[1][f] / n[1]) >= T.MARKER and seen[0][f] <= 0.1 * seen[1][f]}
+    x, grades = np.zeros((len(rows), len(names))), []
+    for k, (words, y) in enumerate(rows):
+        for w in words:
+            for f in T.features(w):
+                if f in place:
+                    x[k, place[f]] += 1
+        hits = sum(any(f in marks for f in T.features(w)) for w in words)
+        grades.append(y and 1 + sum(hits >= g for g in T.GRADES))
+    x, y, m = np.log1p(x), np.array(grades), len(rows)
+    p = np.zeros(len(names) + 3)
+    p[-3] = math.log((y == 0).sum() + 1) - math.log((y > 0).sum() + 1)
+    first, second = np.zeros_like(p), np.zeros_like(p)
+    s = lambda v: 1 / (1 + np.exp(-np.clip(v, -60, 60)))
+    for t in range(1, 401):
+        theta = [p[-3], p[-3] + math.exp(p[-2]), p[-3] + math.exp(p[-2]) + math.exp(p[-1])]
+        z = x @ p[:-3]
+        above = np.stack([np.ones(m), *[s(z - c) for c in theta], np.zeros(m)])
+        chance = np.maximum(above[y, np.arange(m)] - above[y + 1, np.arange(m)], 1e-12)
+        slope = above * (1 - above)
+        dz = (slope[y, np.arange(m)] - slope[y + 1, np.arange(m)]) / chance
+        d = [sum(((y == k + 1) * -slope[k + 1] + (y == k) * slope[k + 1]) / chance) / m for k in range(3)]  # by theta_k, of the mean log chance
+        grad = np.concatenate([-(x.T @ dz) / m + 1e-4 * p[:-3], [-(d[0] + d[1] + d[2]), -(d[1] + d[2]) * math.exp(p[-2]), -d[2] * math.exp(p[-1])]])
+        first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
+        p = p - 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
+    return dict(zip(names, p[:-3], strict=True)), [p[-3], p[-3] + math.exp(p[-2]), p[-3] + math.exp(p[-2]) + math.exp(p[-1])]
+
+
+def test_query_against_brute_force(spark):
+    from sparkloom.llm.queries import op8_toxicity
+
+    sf = f"{DATA}/sf0.01"
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = [(r["doc_id"], r["toxic"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()]
+    weights, theta = plain_fit(docs, labels)
+    got = {r["doc_id"]: r for r in op8_toxicity(spark, sf).collect()}
+    assert got.keys() == docs.keys()
+    for d, text in docs.items():
+        counts = Counter(f for w in regex.findall(r"\p{L}+", text.lower()) for f in T.features(w))
+        z = sum(math.log1p(c) * weights[f] for f, c in counts.items() if f in weights)
+        want = sum(1 / (1 + math.exp(-min(max(z - c, -60), 60))) for c in theta)
+        assert abs(got[d]["severity"] - want) < 1e-3 and got[d]["toxic"] == int(got[d]["severity"] >= T.THRESHOLD)
+
+
+def test_counts_do_not_depend_on_stretches(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    texts = pa.array([" ".join(rng.choice(["idiot", "Clown", "over", "and", "x1y", "été"], rng.integers(0, 60))) for _ in range(30)] + [None, ""])
+    names = {f: k for k, f in enumerate(["idiot", "idio*", "clown", "over", "été"])}
+    marker = np.array([True, True, True, False, False])
+    want = T.Lookup(names)(texts, marker)
+    monkeypatch.setattr(T, "STRETCH", 40)
+    got = T.Lookup(names)(texts, marker)
+    assert all((np.asarray(a) == np.asarray(b)).all() for a, b in zip(got, want, strict=True))
