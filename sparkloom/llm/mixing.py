@@ -11,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import passed
 from . import common as C
 
 #: Production weights: share of the mixed corpus, in characters. Sources not named share OTHER.
@@ -54,20 +55,6 @@ def rates(docs: DataFrame, weights: dict[str, float], other: float, scale: float
     return table.select("bucket", "draws", _distribution(F.col("rate")).alias("cdf"))
 
 
-def _passed(cdf: Column, u: Column) -> Column:
-    """How many values of an ascending array are not above u, by halving."""
-    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(cdf))))
-    whole = F.struct(F.lit(0).alias("lo"), F.size(cdf).alias("hi"))
-
-    def half(acc: Column, _: Column) -> Column:
-        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
-        more = (acc["lo"] < acc["hi"]) & (F.coalesce(F.get(cdf, mid), F.lit(2.0)) <= u)
-        lo, hi = F.when(more, mid + 1).otherwise(acc["lo"]), F.when(more, acc["hi"]).otherwise(mid)
-        return F.struct(lo.alias("lo"), F.greatest(lo, hi).alias("hi"))
-
-    return F.aggregate(steps, whole, half, lambda acc: acc["lo"])
-
-
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, other: float = OTHER, scale: float = 1.0, seed: int = 17, marks: bool = True) -> DataFrame:
     """The input's columns plus, with marks, copy (from 0) and shuffle_key, one row per copy, dealt out in hash order.
 
@@ -83,9 +70,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, other: float =
     spark, keep = docs.sparkSession, docs.columns
     table = rates(docs, weights, other, scale).select(F.col("bucket").alias("__bucket"), F.col("draws").alias("__draws"), F.col("cdf").alias("__cdf"))
     u = C.draw(seed, F.col("doc_id"))
-    again = F.transform(F.sequence(F.lit(1).cast("long"), F.col("__draws") - 1), lambda j: _passed(F.col("__cdf"), C.draw(F.concat(F.lit(f"{seed}."), j.cast("string")), F.col("doc_id"))).cast("long"))
+    again = F.transform(F.sequence(F.lit(1).cast("long"), F.col("__draws") - 1), lambda j: passed(F.col("__cdf"), C.draw(F.concat(F.lit(f"{seed}."), j.cast("string")), F.col("doc_id"))).cast("long"))
     more = F.when(F.col("__draws") > 1, F.aggregate(again, F.lit(0).cast("long"), lambda a, x: a + x)).otherwise(0)
-    count = _passed(F.col("__cdf"), F.col("__u")) + more
+    count = passed(F.col("__cdf"), F.col("__u")) + more
     copies = (
         docs.withColumn("__bucket", _bucket(weights))
         .withColumn("__u", u)

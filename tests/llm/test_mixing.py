@@ -40,3 +40,13 @@ def test_distribution_at_large_rates(spark):
         cdf = spark.range(1).select(M._distribution(F.lit(rate)).alias("c")).first()["c"]
         assert abs(cdf[-1] - 1) < 1e-9 and cdf == sorted(cdf)
         assert math.isclose(cdf[0], math.exp(-rate), rel_tol=1e-9, abs_tol=1e-300)
+
+
+def test_a_small_source_for_its_weight(spark):
+    """Rates beyond one draw are sums of draws: mean and spread are those of the Poisson distribution."""
+    rows = [(i, "x" * 1000, "big") for i in range(400)] + [(1000 + i, "x", "tiny") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    n = {r["doc_id"]: r["count"] for r in M.mix(df, {"tiny": 0.2}, other=0.8).groupBy("doc_id").count().collect()}
+    rate = 0.2 * 400_020 / 20
+    tiny = [n[1000 + i] for i in range(20)]
+    assert rate > M.ONE_DRAW and all(abs(v - rate) < 5 * math.sqrt(rate) for v in tiny) and len(set(tiny)) > 10

@@ -137,3 +137,12 @@ def test_stage_keeps_one_of_each_group(spark):
     out = S.keep_one(df)
     assert out.columns == df.columns
     assert sorted(group[r["doc_id"]] for r in out.collect()) == list(range(40))
+
+
+def test_fingerprints_do_not_depend_on_stretches(monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices(["a", "Bc", "longer", "été", "x\ty", "\x0b"], k=rng.randint(0, 300))) for _ in range(40)] + ["w " * 3, "one" * 50]
+    whole = [S.fingerprint(t.encode(), 4, 2) for t in texts]
+    assert [f[0] for f in whole] == [brute_fp(t, 4) for t in texts]
+    monkeypatch.setattr(S, "BLOCK", 16)
+    assert [S.fingerprint(t.encode(), 4, 2) for t in texts] == whole

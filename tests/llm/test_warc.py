@@ -52,3 +52,16 @@ def test_dictionary_leads_the_archive_and_helps(spark, tmp_path):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.digest(df).collect() == []
+
+
+def test_record_ids_are_unique_and_referred_to(spark):
+    table = [*rows(), (None, None, "short", 0), (None, None, "short", 0), (3, "http://other", "<p>again", 0)]
+    df = spark.createDataFrame(table, "page_id long, url string, html string, digest int").repartition(4)
+    ids, refers = [], set()
+    for r in warc.write_warc(df, C.scratch(spark, "w")).collect():
+        for raw in warc.records(r["path"]):
+            f = warc.parse(raw)["fields"]
+            ids.append(f["warc-record-id"])
+            refers |= {f["warc-refers-to"]} if "warc-refers-to" in f else set()
+    twins = sum(1 for p, u, h, _ in table if (p, u) == (1, None)) - 1  # rows that agree in all of page_id, url and payload
+    assert len(ids) == len(table) and len(set(ids)) == len(ids) - twins and refers and refers <= set(ids)
