@@ -44,13 +44,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(*frames: DataFrame) -> None:
-    """Delete what materialize() wrote, once nothing reads it any more."""
+    """Delete what materialize() wrote, once nothing reads it any more, and what a frame was marked to rest on."""
     for df in frames:
+        release(*getattr(df, "_sparkloom_parts", ()))
         path = getattr(df, "_sparkloom_path", None)
         if path:
             delete(df.sparkSession, path)
 
 
+def resting_on(df: DataFrame, *parts: DataFrame) -> DataFrame:
+    """df, marked: release(df) deletes the materialised parts that it reads."""
+    df._sparkloom_parts = parts
+    return df
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

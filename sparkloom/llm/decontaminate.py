@@ -148,6 +148,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     slots = F.filter(F.arrays_zip("item", "own"), lambda x: ~F.col("exact") & _placeholder(x["item"]))
     met = met.select("doc_id", "t", "item_id", "q", "exact", (F.col("p") - F.col("q")).alias("diagonal"), slots.alias("slots"))
     met = C.materialize(met, "benchmark-matches")
+    C.release(held, pairs, some)
 
     line = ["doc_id", "t", "item_id", "diagonal"]
     filled = met.select(*line, F.explode("slots").alias("s")).groupBy(*line, F.col("s.item").alias("slot")).agg(F.min("s.own").alias("a"), F.max("s.own").alias("b"))
@@ -164,12 +165,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     for name, one, other in (("n_windows", "n_templates", "n_all"), ("n_found", "templates", "all")):
         out = out.withColumn(name, F.when(loose, F.col(one)).otherwise(F.col(other)))
     out = out.withColumn("coverage", F.col("n_found") / F.col("n_windows"))
-    return out.filter(F.col("coverage") >= coverage).select("doc_id", "t", "item_id", "n_windows", "n_found", "coverage")
+    return C.resting_on(out.filter(F.col("coverage") >= coverage).select("doc_id", "t", "item_id", "n_windows", "n_found", "coverage"), bench, met)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with their columns, that hold no benchmark item."""
-    hit = C.materialize(contaminated(docs, benchmark).select(F.col("doc_id").alias("__i"), F.col("t").alias("__t")).distinct(), "contaminated")
+    found = contaminated(docs, benchmark)
+    hit = C.materialize(found.select(F.col("doc_id").alias("__i"), F.col("t").alias("__t")).distinct(), "contaminated")
+    C.release(found)
     keys = [F.col("doc_id").cast("long").eqNullSafe(F.col("__i")), F.xxhash64("text") == F.col("__t")]
     return docs.join(F.broadcast(hit) if C.fits(hit, BROADCAST_DOCS) else hit, keys, "left_anti")
 

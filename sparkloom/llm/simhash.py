@@ -252,15 +252,17 @@ def group(docs: DataFrame, n_words: int = 5, n_fp: int = 1, max_bits: int = 4, p
     distinct = fps.groupBy(*names).agg(F.min(first).alias("first"))
     # a fingerprint of one word is its own vertex number; longer ones are numbered by a 64-bit hash of all words
     distinct = C.materialize(distinct.select(F.col("f0").alias("id") if n_fp == 1 else F.xxhash64(*names).alias("id"), *names, "first"), "distinct-fingerprints")
-    roots = components(links(distinct, n_fp, max_bits, per))
+    edges = links(distinct, n_fp, max_bits, per)
+    roots = components(edges)
     linked = roots.select(F.col("v").alias("id"), "root").union(roots.select("root", "root").distinct())
     linked = C.materialize(linked.join(distinct.select("id", "first"), "id"), "linked-fingerprints")
+    C.release(edges, roots)
     best = linked.groupBy("root").agg(F.min("first").alias("best"))
     mapped = distinct.join(linked.join(best, "root").select("id", "best"), "id", "left")
     mapped = mapped.select(*names, F.coalesce("best", "first").alias("best"))
     out = fps.join(mapped, names, "left")
     kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("t") == F.col("best.t"))
-    return out.select("doc_id", "t", *names, F.col("best.doc_id").alias("component_id"), kept.alias("kept"))
+    return C.resting_on(out.select("doc_id", "t", *names, F.col("best.doc_id").alias("component_id"), kept.alias("kept")), fps, distinct, linked)
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -283,6 +285,7 @@ def keep_one(docs: DataFrame, **how: int) -> DataFrame:
     out = group(docs, **(how or STAGE))
     drops = C.materialize(out.filter(~F.col("kept")).select(F.col("doc_id").alias("__i"), F.col("t").alias("__t")).distinct(), "near-duplicates")
     repeated = not out.filter("kept").groupBy("doc_id", "t").count().filter("count > 1").isEmpty()
+    C.release(out)
     keys = [F.col("doc_id").cast("long").eqNullSafe(F.col("__i")), F.xxhash64("text") == F.col("__t")]
     kept = docs.join(F.broadcast(drops) if C.fits(drops, BROADCAST_DROPS) else drops, keys, "left_anti")
     if repeated:  # rows that repeat both doc_id and text
