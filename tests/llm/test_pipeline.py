@@ -85,7 +85,13 @@ def test_near_copies_share_a_group(spark):
         for d in (a, b):
             best[d] = max(best.get(d, 0), c)
     dropped = [d for d, (_, kept) in group.items() if not kept and (rows[d] or "").strip()]
-    assert len(dropped) > 500 and np.mean([best.get(d, 0) >= 0.7 for d in dropped]) >= 0.97
+    members = {}
+    for d, (c, _) in group.items():
+        members.setdefault(c, []).append(d)
+    for d in dropped:  # texts whose shingles many documents have
+        if best.get(d, 0) < 0.7:
+            best[d] = max(cosine(rows[d], rows[m]) for m in members[group[d][0]] if m != d)
+    assert len(dropped) > 500 and np.mean([best[d] >= 0.7 for d in dropped]) >= 0.99
 
 
 def test_stages_against_brute_force(spark):
