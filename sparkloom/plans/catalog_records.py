@@ -455,3 +455,82 @@ def inpaint_properties(spark, d):
     first = F.array_position("mask", 0)
     shape = F.when(F.col("kind") == "full", kept == 0).when(F.col("kind") == "causal", kept == first - 1).otherwise(F.lit(True))
     return m.select("id", F.col("kind").isin(*KINDS).alias("known_kind"), F.size("mask").alias("length"), F.forall("mask", lambda v: v.isin(0, 1)).alias("only_bits"), ((first > 0) | (F.size("mask") == 0)).alias("some_hidden"), shape.alias("shape"))
+
+
+def _folder(spark, d) -> str:
+    """A folder of small files by conversation: clip (PCM), text and JSON sidecars, and names that are never data."""
+    from ..sources import scan
+    from ..storage import filesystem
+
+    root = scratch(spark, "folder")
+
+    def write(frames):
+        for pdf in frames:
+            for conv, n, text in zip(pdf["conv_id"], pdf["n"], pdf["text"], strict=True):
+                base = f"{root}/set{conv % 2}/clip{conv:05d}"
+                files = {f"{base}.WAV": scan.write_wav([[0.5] * int(n)], 8_000), f"{base}.json": b'{"turns": %d}' % n, f"{root}/set{conv % 2}/.clip{conv}.wav": b"", f"{root}/__MACOSX/clip{conv}.wav": b""}
+                if conv % 4:
+                    files[f"{base}.txt"] = f" {text or ''}\n".encode()
+                for path, data in files.items():
+                    system, local = filesystem(path)
+                    system.create_dir(local.rpartition("/")[0], recursive=True)
+                    with system.open_output_stream(local, compression=None) as f:
+                        f.write(data)
+            yield pd.DataFrame({"conv_id": pdf["conv_id"]})
+
+    first = _t(spark, d, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.min_by("text", "turn").alias("text"))
+    first.mapInPandas(write, "conv_id long").write.format("noop").mode("overwrite").save()
+    return root
+
+
+@query("""
+WITH c AS (SELECT conv_id, count(*) AS n, arg_min(text, turn) AS text FROM conversations GROUP BY conv_id)
+SELECT 'clip' || lpad(conv_id::VARCHAR, 5, '0') AS stem, n::INTEGER AS turns, n::INTEGER AS samples, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS prompt FROM c WHERE conv_id % 4 <> 0""")
+def folder_scan(spark, d):
+    """Clips with their text and JSON sidecars; clips without a text are rejected, hidden and foreign files never seen."""
+    from ..sources import scan
+
+    root = _folder(spark, d)
+    clips = scan.wav(scan.files(spark, root, content=True))
+    both = R.sidecar(R.sidecar(clips, scan.captions(spark, root), ["dir", "stem"]), scan.json_sidecars(spark, root, "turns int"), ["dir", "stem"], required=False)
+    return both.select("stem", F.col("info.turns").alias("turns"), F.size(F.get("audio.samples", F.lit(0))).alias("samples"), "prompt")
+
+
+@query("""
+SELECT 'even' AS dataset_id, 2.0::DOUBLE AS weight, count(DISTINCT conv_id) FILTER (WHERE conv_id % 2 = 0)::BIGINT AS n FROM conversations
+UNION ALL SELECT 'keyed', 1.0, count(DISTINCT conv_id) FILTER (WHERE conv_id % 2 = 1 AND conv_id::VARCHAR LIKE '%7%') FROM conversations""")
+def dataset_roots(spark, d):
+    """A dataset configuration of two roots, one with keywords, as a union with ids and weights."""
+    from ..sources.config import DatasetConfig
+
+    root = _folder(spark, d)
+    config = DatasetConfig.parse({"dataset_type": "audio_dir", "datasets": [{"id": "even", "path": f"{root}/set0", "weight": 2.0}, {"id": "keyed", "path": f"{root}/set1", "keywords": ["7"]}], "min_length_sec": 1, "s3_streaming": {"max_attempts": 3}})
+    counted = config.frame(spark).groupBy("dataset_id").agg(F.max("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+    ids = spark.createDataFrame([("even", 2.0), ("keyed", 1.0)], "dataset_id string, weight double")
+    return ids.join(counted.drop("weight"), "dataset_id", "left").select("dataset_id", "weight", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query(f"""
+SELECT format('{{:06d}}{{:04d}}', doc_id // 50, doc_id % 50) AS id, CASE WHEN {_u('0', 'doc_id')} < 0.1 THEN 'val' ELSE 'train' END AS split, n_chars FROM documents""")
+def pair_sink(spark, d):
+    """Records under ids of batch and place, by split, written and read again; a column that is never kept is dropped."""
+    from ..sources import scan, sinks
+
+    path = scratch(spark, "pairs")
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("index"), D.split("doc_id", 0.1).alias("split"), "n_chars", F.lit(1).alias("primary_genre_hint_id"))
+    sinks.write_pairs(docs, path, 50)
+    return scan.manifest(spark, path).select("id", "split", "n_chars")
+
+
+@query("""
+WITH x AS (SELECT doc_id, n_chars % 40 + 1 AS n FROM documents)
+SELECT doc_id, (1 + n // 8)::INTEGER AS frames, 4::INTEGER AS bands, true AS bounded FROM x""")
+def mel_frames(spark, d):
+    """Frames and bands of a spectrum with padded ends, and its range of 80 dB."""
+    from ..functions.spectral import mel
+
+    n = (F.col("n_chars") % 40 + 1).cast("int")
+    wave = F.transform(F.sequence(F.lit(1), n), lambda i: F.sin(i * 0.7))
+    m = _t(spark, d, "documents").select("doc_id", mel(wave, 8_000, 16, 4).alias("m"))
+    flat = F.flatten("m")
+    return m.select("doc_id", F.size(F.get("m", F.lit(0))).alias("frames"), F.size("m").alias("bands"), (F.array_max(flat) - F.array_min(flat) <= 80.0001).alias("bounded"))
