@@ -21,11 +21,15 @@ def chunks(df: DataFrame, n: Column, c: int) -> DataFrame:
 def stitch(df: DataFrame, key: str, text: str, c: int, overlap: int) -> DataFrame:
     """key, stitched: a text cut into overlapping chunks and put together again, later chunks over earlier ones."""
     half, n = overlap // 2, F.char_length(text)
-    plan = df.select(key, text, A.overlap_starts(n, c, overlap).alias("__s")).select(key, text, (F.size("__s") - 1).alias("__last"), F.posexplode("__s").alias("__k", "__start"))
-    lo = F.when(F.col("__k") == 0, 0).otherwise(half)
-    hi = F.when(F.col("__k") == F.col("__last"), F.least(n, F.lit(c))).otherwise(c - half)
-    part = F.struct(F.col("__k").alias("k"), F.col("__start").alias("start"), lo.alias("lo"), hi.alias("hi"), F.substring(text, F.col("__start") + 1, c).alias("chunk"))
-    parts = plan.select(key, part.alias("__x")).groupBy(key).agg(F.array_sort(F.collect_list("__x")).alias("__x"))
+    plan = df.select(key, text, A.overlap_starts(n, c, overlap).alias("__s"), F.least(n, F.lit(c)).alias("__n"))
+
+    def part(start: Column, k: Column) -> Column:
+        lo = F.when(k == 0, 0).otherwise(half)
+        hi = F.when(k == F.size("__s") - 1, F.col("__n")).otherwise(c - half)
+        return F.struct(k.alias("k"), start.alias("start"), lo.alias("lo"), hi.alias("hi"), F.substring(text, start + 1, F.lit(c)).alias("chunk"))
+
+    # chunks are cut before rows are made of them, so that no row but a text's own holds the text
+    parts = plan.select(key, F.explode(F.transform("__s", part)).alias("__x")).groupBy(key).agg(F.array_sort(F.collect_list("__x")).alias("__x"))
 
     def piece(x: Column, i: Column) -> Column:
         """Up to where the next chunk begins to overwrite."""
