@@ -183,8 +183,8 @@ def _search(rows: DataFrame, dim: int, every: int, k: int, tables: int, budget:
 
     codes = C.materialize(index.select("id", "part", "x").mapInArrow(code, "cell int, id long, part int"), "cells")
     sizes = np.zeros(made.tables * made.cells, np.int64)  # a count for each cell of the tables, whatever the input
-    for r in codes.groupBy("cell").count().collect():
-        sizes[r["cell"]] = r["count"]
+    counts = codes.groupBy("cell").count().toArrow()
+    sizes[counts["cell"].to_numpy()] = counts["count"].to_numpy()
     rows_wanted = BASE * k + math.ceil(budget * n**power)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
