@@ -26,7 +26,7 @@ TABLES = 16
 #: Rows in the cells that a query looks into, counted once a table: BASE * k + BUDGET * n ** POWER. A query's work grows
 #: with the square root of the table. Vectors without any structure, whose neighbours are hardly closer than other rows,
 #: lose recall as a table grows by this rule (measured in the README); a larger budget buys it back.
-BASE, BUDGET, POWER = 100, 27.0, 0.5
+BASE, BUDGET, POWER = 100, 32.0, 0.5
 #: Signed axes that a hash tells apart, at most, and the nearest of them that a query looks at.
 AXES, NEAR = 128, 64
 #: Vectors of a block; a block is compared with its queries in one task.
