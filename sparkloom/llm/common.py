@@ -15,8 +15,8 @@ from ..storage import filesystem, scratch, shared_root
 
 #: Whitespace of the text contracts: space and the ASCII controls 0x09 to 0x0D.
 WS = "\t\n\x0b\x0c\r "
-#: Deletes the shuffle files of a query when it ends.
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Options of a write: the shuffle files of the query are deleted when it ends; bytes of an Arrow batch.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -27,17 +27,20 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage in a way that survives lost executors.
 
-    Shuffles of the write are deleted when it is done; the option for that holds for the write alone.
+    Shuffles of the write are deleted when it is done, and Arrow batches of it are kept small; the options for that hold
+    for the write alone.
     """
     ship(df.sparkSession)
     path = scratch(df.sparkSession, name)
     conf = df.sparkSession.conf
-    before = conf.get(_CLEAN, None)
-    conf.set(_CLEAN, "true")
+    before = {k: conf.get(k, None) for k in _WRITING}
+    for k, v in _WRITING.items():
+        conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        conf.set(_CLEAN, before) if before is not None else conf.unset(_CLEAN)
+        for k, v in before.items():
+            conf.set(k, v) if v is not None else conf.unset(k)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._sparkloom_path = path
     return out

@@ -242,13 +242,35 @@ def score(docs: DataFrame, model: Ordinal | None) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("severity", DoubleType())]))
 
 
+def severities(docs: DataFrame, model: Ordinal | None) -> DataFrame:
+    """(doc_id, t, severity) for every row; t is a hash of the text. Texts go to Python and do not come back."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
+    if model is None:
+        return rows.select("doc_id", "t", F.lit(0.0).alias("severity"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = Lookup(model.vocabulary)
+        for whole in batches:
+            for batch in C.pieces(whole):
+                row, col, value, *_ = look(batch.column("text"))
+                z = np.bincount(row, np.log1p(value) * model.weights[col], minlength=batch.num_rows)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(model.severity(z))], names=["doc_id", "t", "severity"])
+
+    return rows.mapInArrow(run, "doc_id long, t long, severity double")
+
+
 def grade(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, severity, toxic (1 from THRESHOLD on) for every row; rows that repeat are scored each."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return score(rows, fit(docs, labels)).select("doc_id", "severity", (F.col("severity") >= THRESHOLD).cast("int").alias("toxic"))
+    return severities(docs, fit(docs, labels)).select("doc_id", "severity", (F.col("severity") >= THRESHOLD).cast("int").alias("toxic"))
+
+
+#: Up to so many toxic rows (16 bytes each) are broadcast; more are joined by shuffle.
+BROADCAST_TOXIC = 1_000_000
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are not toxic, with their columns."""
-    held = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
-    return score(held, fit(docs, labels)).filter(F.col("severity") < THRESHOLD).select("row.*")
+    """The rows of docs that are not toxic, with their columns. Rows that share doc_id and text share their fate."""
+    bad = severities(docs, fit(docs, labels)).filter(F.col("severity") >= THRESHOLD)
+    bad = C.materialize(bad.select(F.col("doc_id").alias("__i"), F.col("t").alias("__t")).distinct(), "toxic-documents")
+    keys = [F.col("doc_id").cast("long").eqNullSafe(F.col("__i")), F.xxhash64("text") == F.col("__t")]
+    return docs.join(F.broadcast(bad) if C.fits(bad, BROADCAST_TOXIC) else bad, keys, "left_anti")
