@@ -16,7 +16,7 @@ from ..storage import filesystem, scratch, shared_root
 #: Whitespace of the text contracts: space and the ASCII controls 0x09 to 0x0D.
 WS = "\t\n\x0b\x0c\r "
 #: Options of a write: the shuffle files of the query are deleted when it ends; bytes of an Arrow batch.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

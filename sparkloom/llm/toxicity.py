@@ -36,7 +36,7 @@ STRETCH = 2 << 20
 MARKER = 0.9
 #: Expected severity from which a document is toxic.
 THRESHOLD = 0.5
-WORDS_KEPT = 300_000
+WORDS_KEPT = 100_000
 
 
 def features(word: str) -> list[str]:
