@@ -447,13 +447,13 @@ def inpaint_masks(spark, d):
 @query("SELECT doc_id AS id, true AS known_kind, coalesce(n_chars, 256)::INTEGER AS length, true AS only_bits, true AS some_hidden, true AS shape FROM documents")
 def inpaint_properties(spark, d):
     """What holds for every mask: a known kind, the row's length, bits only, something to generate; a full mask keeps
-    nothing, a causal one hides all from its first hidden place on."""
+    nothing, a causal one hides all from its first hidden place on. An empty mask has no hidden place to look at."""
     from ..operators.inpaint import KINDS
 
     m = inpaint_masks(spark, d)
     kept = F.aggregate("mask", F.lit(0), lambda a, v: a + v)
     first = F.array_position("mask", 0)
-    shape = F.when(F.col("kind") == "full", kept == 0).when(F.col("kind") == "causal", kept == first - 1).otherwise(F.lit(True))
+    shape = F.when(F.col("kind") == "full", kept == 0).when((F.col("kind") == "causal") & (F.size("mask") > 0), kept == first - 1).otherwise(F.lit(True))
     return m.select("id", F.col("kind").isin(*KINDS).alias("known_kind"), F.size("mask").alias("length"), F.forall("mask", lambda v: v.isin(0, 1)).alias("only_bits"), ((first > 0) | (F.size("mask") == 0)).alias("some_hidden"), shape.alias("shape"))
 
 
