@@ -11,12 +11,21 @@ from pyspark.sql import functions as F
 
 #: Words that mark a vocal prompt (fixed values).
 VOCAL = r"\b(vocals?|singing|singer|female|male|voice|voices|chorus|rap|rapper|chant(ing)?|lyrics?)\b"
-_SPACE = r"[\s\x1c-\x1f\x85]"
+#: Line breaks, and other white space, as characters of a class.
+_BREAKS = r"\n-\r\x1c-\x1e\x85\u2028\u2029"
+_BLANKS = r"\t\x1f\x20\xa0\u1680\u2000-\u200a\u202f\u205f\u3000"
+_SPACE = f"[{_BREAKS}{_BLANKS}]"
+#: A "Genre:" line with blank lines before it, and the "Sub-genre(s):" lines right after it.
+_HEADING = (
+    rf"\A{_SPACE}*+(?i:Genre)[{_BLANKS}]*+:[^{_BREAKS}]*+"
+    rf"(?:(?:\r\n|[{_BREAKS}])[{_BLANKS}]*+(?i:Sub[- ]?genres?)[{_BLANKS}]*+:[^{_BREAKS}]*+)*+"
+)
 
 
 def strip(x: Column) -> Column:
-    """Unicode white space off both ends."""
-    return F.regexp_replace(x, rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
+    """Unicode white space off both ends, in linear time: a run inside is entered at its first character only. Printable
+    ASCII is told apart first, as the whole class is slow."""
+    return F.regexp_replace(x, rf"\A{_SPACE}++|[^!-~](?![!-~])(?<={_SPACE})(?<!{_SPACE}{{2}}){_SPACE}*+\z", "")
 
 
 def valid_prompt(x: Column) -> Column:
@@ -65,19 +74,8 @@ def row_base(sample: Column) -> Column:
 
 def strip_heading(x: Column) -> Column:
     """Without a leading "Genre:" line, "Sub-genre(s):" lines after it and one blank line; trimmed."""
-    lines = F.split(x, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
-    first = F.coalesce(F.array_min(F.filter(F.transform(lines, lambda v, i: F.when(strip(v) != "", i)), lambda i: i.isNotNull())), F.lit(-1))
-
-    def step(a: Column, line: Column) -> Column:
-        """state 0: before the heading's end, 1: done."""
-        blank, sub = strip(line) == "", line.rlike(r"(?i)^\s*Sub[- ]?genres?\s*:")
-        go = a["state"] == 0
-        return F.struct(F.when(go & (blank | sub), a["end"] + 1).otherwise(a["end"]).alias("end"), F.when(go & sub, 0).otherwise(1).alias("state"))
-
-    rest = F.slice(lines, first + 2, F.greatest(F.size(lines) - first - 1, F.lit(0)))
-    end = F.aggregate(rest, F.struct((first + 1).cast("int").alias("end"), F.lit(0).alias("state")), step, lambda a: a["end"])
-    body = strip(F.array_join(F.slice(lines, end + 1, F.greatest(F.size(lines) - end, F.lit(0))), "\n"))
-    return F.when(first < 0, x).when(F.get(lines, first).rlike(r"(?i)^\s*Genre\s*:"), body).otherwise(strip(x))
+    body = F.regexp_replace(F.regexp_replace(x, _HEADING, ""), rf"[^ -~](?<=[{_BREAKS}])(?<!\n)(?:(?<=\r)\n)?+", "\n")
+    return F.when(x.rlike(_HEADING), strip(body)).when(x.rlike(f"[^{_BREAKS}{_BLANKS}]"), strip(x)).otherwise(x)
 
 
 def subgenres(x: Column) -> Column:

@@ -1,5 +1,8 @@
+import hashlib
 import math
 import random
+import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -72,6 +75,44 @@ def test_projection_and_guidance(spark):
     assert np.allclose(got, (x - (c + 3 * diff)) / 0.7)
 
 
+def _plain_heading(x):
+    """The rule of strip_heading by loops over lines."""
+    lines = x.splitlines()
+    first = next((i for i, v in enumerate(lines) if v.strip()), None)
+    if first is None:
+        return x
+    if not re.match(r"\s*Genre\s*:", lines[first], re.I):
+        return x.strip()
+    end = first + 1
+    while end < len(lines) and re.match(r"\s*Sub[- ]?genres?\s*:", lines[end], re.I):
+        end += 1
+    return "\n".join(lines[end:]).strip()
+
+
+def test_headings_of_odd_texts_by_brute_force(spark):
+    rng = random.Random(1)
+    odd = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    parts = ["Genre:", "genre :", "GENRE\u2003:", "Sub-genres:", "subgenre\xa0: a", "Sub genre :", "Subs:", "Deep, Acid", "é", "\U0001f600", "\r\n", "\n", "\n", " ", ":", "", *odd]
+    texts = [f"{a}{b}" for a in ("x", "", "Genre: y\nz") for b in odd] + [f"{b}{a}{b}{a}" for a in ("x", "Genre: y\nz") for b in odd]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
+    texts += ["\n Genre: h" + "".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
+    rows = spark.createDataFrame([(x,) for x in [None, *texts]], "x string").select("x", T.strip_heading(F.col("x")).alias("h"), T.strip(F.col("x")).alias("s")).collect()
+    assert rows[0]["h"] is None and rows[0]["s"] is None and len(rows) == len(texts) + 1
+    assert [(r["h"], r["s"]) for r in rows[1:]] == [(_plain_heading(x), x.strip()) for x in texts]
+
+
+def test_headings_of_long_texts_take_linear_time(spark):
+    """A run of spaces, many short lines and many lines of a heading, a few MB each: seconds where it took minutes."""
+    body = "a" + " " * 300_000 + "b\n" + "word\n" * 1_000_000 + "end"
+    texts = [f"\nGenre: x\n{body}\n", f" {body} ", "Genre: x\n" + "Sub-genre: y\n" * 200_000 + "end", " " * 1_000_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").select("i", F.md5(T.strip_heading(F.col("x"))).alias("h"))
+    df.filter("i = 3").collect()
+    began = time.monotonic()
+    got = {r["i"]: r["h"] for r in df.collect()}
+    assert time.monotonic() - began < 30
+    assert got == {i: hashlib.md5(x.encode()).hexdigest() for i, x in enumerate([body, body, "end", texts[3]])}
+
+
 def test_text_functions(spark):
     t = lambda f, s: one(spark, f(F.lit(s)))
     assert t(T.strip_heading, "\n genre: X\nSub-Genres: a\nSubgenre: b\n\nBody\n") == "Body" and t(T.strip_heading, " plain \n") == "plain" and t(T.strip_heading, "Genre: only") == ""
